@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 from .common import space_chunks
 
 #: Chunks in a worker's cache before it starts anew; longer ones are not kept.
-CACHE_SIZE = 1_000_000
+CACHE_SIZE = 700_000
 CACHED_CHARS = 64
 #: Bytes of pre-tokens that go through one queue at a time.
 QUEUE_BYTES = 1 << 20
 #: Text characters that are encoded together.
-CHUNK_CHARS = 1 << 24
+CHUNK_CHARS = 1 << 22
 
 
 class RankBitmap:

@@ -30,8 +30,8 @@ MAGIC = b"TWDAC001"
 #: Bits of each level's chunks.
 CHUNK_BITS = (8, 4, 4, 8, 8)
 #: Tokens after which a writer begins another file; cached chunks of text; the longest that is cached.
-FILE_TOKENS = 1 << 23
-CACHE_SIZE = 1_000_000
+FILE_TOKENS = 1 << 22
+CACHE_SIZE = 600_000
 CACHED_CHARS = 64
 
 
