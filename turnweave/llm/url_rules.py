@@ -7,7 +7,7 @@ through an inverted index: a rule stands under its rarest token, and a URL only
 it has.
 
 The number of rules has a bound (``MAX_RULES``): if the mining gives more, the support is doubled until it does
-not, so the index that is broadcast never grows with the data.
+not (then the rules are made shorter), so the index that is broadcast never grows with the data.
 """
 
 from __future__ import annotations
@@ -71,7 +71,12 @@ def mine_rules(labelled: DataFrame, url: str = "url", blocked: str = "blocked",
             rows = rules.where(~F.array_contains("antecedent", ALLOW)).select("antecedent", "confidence").limit(max_rules + 1).collect()
             if len(rows) <= max_rules:
                 return pruned([(frozenset(r["antecedent"]), r["confidence"]) for r in rows])
-            min_support *= 2
+            if min_support < 0.5:
+                min_support *= 2
+            elif max_items > 1:
+                max_items -= 1
+            else:
+                return []
     finally:
         items.unpersist()
 
