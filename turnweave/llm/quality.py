@@ -67,8 +67,12 @@ def measures(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
 
     A null text has no words. Windows are compared by 64-bit hashes. ``word_hist`` counts the common words of the
     row's language and then all others; it is null for a language without a list.
+
+    The results come out of a generator of one row: a filter on them would otherwise be pushed below and compute
+    them again at each of their uses.
     """
-    return _base(_histograms(df, text, lang))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_hist", "word_hist")
+    return _base(_histograms(df, text, lang)).select(*df.columns, F.inline(F.array(F.struct(*names))))
 
 
 def _histograms(df: DataFrame, text: str, lang: str) -> DataFrame:

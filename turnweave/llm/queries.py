@@ -72,13 +72,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the quality rules reject.
-
-    A row is dropped by a generator: a filter would be pushed below the measures, which it would then compute
-    again at each of their uses.
-    """
-    once = F.explode(F.when(F.col("kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
-    return _quality(spark, docs, sf_dir).select(*docs.columns, once.alias("__once")).drop("__once")
+    """Drop the documents that the quality rules reject."""
+    return _quality(spark, docs, sf_dir).where("kept").select(*docs.columns)
 
 
 def stage_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
