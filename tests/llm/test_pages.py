@@ -6,6 +6,7 @@ import base64
 import gzip
 import hashlib
 import io
+import random
 import re
 import zlib
 
@@ -154,7 +155,8 @@ def test_pipeline(spark):
 def test_pipeline_stages_take_odd_rows(spark):
     import corpus_pipeline
 
-    text = " ".join(f"word{k} the of and" for k in range(30))
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(5)) if k % 5 else "the" for k in range(90))
     rows = [(1, text, "en"), (1, text, "en"), (2, text + " more", "en"), (None, text, "en"), (4, None, None), (5, "", "en")]
     for table in (rows, []):
         docs = spark.createDataFrame(table, "doc_id long, text string, lang string")
