@@ -1,0 +1 @@
+"""Nothing: the road graph is a batch, and no operator here reads a stream."""
