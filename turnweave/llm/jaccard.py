@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import arrow_rows, materialize
 from .components import connected_components
 from .lookup import bitmap_filter
 
@@ -36,9 +36,12 @@ from .lookup import bitmap_filter
 BAND_GROWTH = Fraction(3, 2)
 SEGMENT_BITS = 12
 FOLDED_WORDS = 16
-#: Shingles per output batch of a task; words in a worker's hash cache.
-BATCH_SHINGLES = 1 << 20
-CACHE_SIZE = 2_000_000
+#: Shingles per output batch of a task; words in a worker's hash cache; classes that a task remembers.
+BATCH_SHINGLES = 1 << 19
+CACHE_SIZE = 400_000
+CLASSES_SEEN = 200_000
+#: Rows of an Arrow batch: each may hold a whole text or two sets.
+ARROW_ROWS = 400
 
 _MASK = (1 << 64) - 1
 _PRIME = 0x9E3779B97F4A7C15
@@ -194,7 +197,7 @@ def segment_keys(shingles: DataFrame, threshold: Fraction) -> DataFrame:
             for doc, cls, data in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 if cls in seen:
                     continue
-                if len(seen) < CACHE_SIZE:
+                if len(seen) < CLASSES_SEEN:
                     seen.add(cls)
                 for k in bands.keys(_from_bytes(data)):
                     keys.append(k)
@@ -236,6 +239,11 @@ def jaccard_components(df: DataFrame, threshold: Fraction = Fraction(4, 5), size
     shingles and link with nothing. Rows that share a key count as one document, so they share a component; a
     row with a null key links with nothing and has a null component. Repeated rows stay.
     """
+    with arrow_rows(df.sparkSession, ARROW_ROWS):
+        return _components(df, threshold, size, key, text)
+
+
+def _components(df: DataFrame, threshold: Fraction, size: int, key: str, text: str) -> DataFrame:
     shingles = materialize(shingle_table(df, size, key, text), "shingles")
     live = shingles.where("n > 0 and doc is not null")
     classes = live.groupBy("class").agg(F.min("doc").alias("rep"))
