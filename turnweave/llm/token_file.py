@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +25,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_dir, space_chunks
+from .common import materialize, shared_dir, space_chunks, tasks
 from .store import read_file, write_file
 
+#: Chunks that are encoded as one text.
+JOINED = 2000
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]*")
+_WHITE = re.compile(r"\s")
+
 MAGIC = b"TWDAC001"
 #: Bits of each level's chunks.
 CHUNK_BITS = (8, 4, 4, 8, 8)
 #: Tokens after which a writer begins another file; cached chunks of text; the longest that is cached.
 FILE_TOKENS = 1 << 22
-CACHE_SIZE = 600_000
+CACHE_SIZE = 900_000
 CACHED_CHARS = 64
 
 
@@ -155,24 +162,64 @@ class _Library:
         self.local = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and state.get("normalizer") is None and (state.get("post_processor") or {}).get("type") in (None, "ByteLevel") and state["model"]["type"] == "BPE"
         self.special = [x["content"] for x in state.get("added_tokens", [])]
         self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        self.after_space = np.array([(self.library.id_to_token(i) or "").startswith("\u0120") for i in range(self.library.get_vocab_size())])
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, np.uint32).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _spaced(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk with a space in front; many go to the library as one text, cut at those spaces."""
+        out: list[bytes] = []
+        for k in range(0, len(chunks), JOINED):
+            part = chunks[k : k + JOINED]
+            if not any(map(_WHITE.search, part)):
+                ids = np.frombuffer(self._ids([" " + " ".join(part)])[0], np.uint32)
+                at = np.flatnonzero(self.after_space[ids])
+                if len(at) == len(part):
+                    raw, cuts = ids.tobytes(), [*(at * 4).tolist(), 4 * len(ids)]
+                    out += [raw[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+                    continue
+            out += self._ids([" " + w for w in part])
+        return out
+
+    def _learn(self, fresh: list[str]) -> None:
+        """Put chunks in the cache. What follows a run of letters is a pre-token of its own, so both parts are kept."""
+        known, cut = self.known, {}
+        plain, odd = set(), []
+        for w in fresh:
+            n = _LETTERS.match(w).end()
+            if 0 < n < len(w) and not w[n].isalpha():
+                cut[w] = n
+                if w[:n] not in known:
+                    plain.add(w[:n])
+            elif _WHITE.search(w):
+                odd.append(w)
+            else:
+                plain.add(w)
+        for words in (list(plain), odd):
+            known.update(zip(words, self._spaced(words), strict=True))
+        tails = list({w[n:] for w, n in cut.items()} - self.tails.keys())
+        self.tails.update(zip(tails, self._ids(tails), strict=True))
+        for w, n in cut.items():
+            known[w] = known[w[:n]] + self.tails[w[n:]]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit numbers."""
         whole = [not self.local or any(s in t for s in self.special) for t in texts]
         cut = [[] if w else space_chunks(t) for w, t in zip(whole, texts, strict=True)]
         known = self.known
-        fresh = list({w for ws in cut for w in ws[1:] if w not in known})
-        known.update(zip(fresh, self._ids([" " + w for w in fresh]), strict=True))
-        heads = self._ids([t if w else ws[0] for w, ws, t in zip(whole, cut, texts, strict=True)])
-        out = [b"".join([head, *map(known.__getitem__, ws[1:])]) for head, ws in zip(heads, cut, strict=True)]
+        heads = self._ids([t if w else ws.pop(0) for w, ws, t in zip(whole, cut, texts, strict=True)])
+        fresh = list(set(chain.from_iterable(cut)).difference(known))
+        self._learn(fresh)
+        out = [head + b"".join(map(known.__getitem__, ws)) for head, ws in zip(heads, cut, strict=True)]
         for w in fresh:
             if len(w) > CACHED_CHARS:
                 del known[w]
         if len(known) > CACHE_SIZE:
             known.clear()
+        if len(self.tails) > CACHE_SIZE // 4:
+            self.tails.clear()
         return out
 
 
@@ -233,7 +280,7 @@ def read_tokens(manifest: DataFrame, key: str = "doc_id") -> DataFrame:
                 keys = pa.array(file.keys, mask=file.null_keys.astype(bool))
                 yield pa.RecordBatch.from_arrays([keys, pa.array(file.offsets[:-1] + row["first_token"]), pa.array(np.diff(file.offsets)), pa.array(crc, pa.int64())], ["key", "start", "n_tokens", "ids_crc32"])
 
-    spread = manifest.repartition("uri")
+    spread = manifest.repartition(tasks(manifest.sparkSession), "uri")  # by number: the rows are few and small, their files are not
     return spread.mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("key", key)
 
 
