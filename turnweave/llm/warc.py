@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_dir
+from .common import materialize, shared_dir, tasks
 from .store import delete_file, open_input, write_file
 
 #: Uncompressed bytes after which a writer begins another archive.
@@ -158,7 +158,8 @@ def normalise(archives: DataFrame, folder: str, keep_source: bool = False) -> Da
                 index_uri = write_file(folder, "records.idx", "".join(index).encode())
                 yield pa.RecordBatch.from_pydict({"source": [source], "uri": [uri], "index_uri": [index_uri], "records": [len(index)]})
 
-    out = materialize(archives.repartition("uri").mapInArrow(run, "source string, uri string, index_uri string, records long"), "warc-index")
+    spread = archives.repartition(tasks(archives.sparkSession), "uri")  # by number: the rows are few and small, their files are not
+    out = materialize(spread.mapInArrow(run, "source string, uri string, index_uri string, records long"), "warc-index")
     if not keep_source:  # only now, when no attempt can need them any more
 
         def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +213,7 @@ def read_archives(archives: DataFrame, key: str = "page_id") -> DataFrame:
                             out[name].append(value)
                 yield pa.RecordBatch.from_pydict(out, pa.schema([("key", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]))
 
-    spread = archives.repartition("uri")
+    spread = archives.repartition(tasks(archives.sparkSession), "uri")
     return spread.mapInArrow(run, "key long, payload_bytes long, payload_digest string, record_type string, refers_to long").withColumnRenamed("key", key)
 
 
