@@ -199,6 +199,31 @@ def test_no_documents_and_repeated_ids(spark):
     assert got == {5: 3, 3: 3, 4: 3, 2: 2, 1: 1}
 
 
+def links_of(df):
+    return {(r.doc_id, r.n_shingles): r.n_links for r in jaccard.jaccard_components(df).collect()}
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_every_link_is_counted(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "LINK_SETS", block)
+    base = [f"w{k}" for k in range(200)]
+    rows = [(k, " ".join([*base[: 200 - k % 5], f"x{k}"])) for k in range(100)] + [(100, " ".join([*base, "x0"])), (101, None)]
+    rows += [(d + 1000, t) for d, t in near_copies(3, 20, 6, [8, 20, 100, 300])]
+    sets = {d: shingles(t) for d, t in rows}
+    want = {(d, len(s)): sum(d != e and bool(s) and 100 * len(s & t) >= 80 * len(s | t) for e, t in sets.items()) for d, s in sets.items()}
+    got = links_of(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert got == want and all(got[k, len(sets[k])] == 100 for k in range(101))
+
+
+def test_texts_of_one_id_have_their_own_links(spark):
+    a, b = " ".join(f"a{k}" for k in range(100)), " ".join(f"b{k}" for k in range(100))
+    rows = [(5, a), (3, a), (5, b), (4, b + " near"), (5, b + " by far"), (5, ""), (9, "c d e f g"), (9, "p q r s t u v"), (8, "p q r s t u v"), (4, b + " near")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {d: c for d, _, c in components_of(df)} == {3: 3, 4: 3, 5: 3, 9: 8, 8: 8}
+    got = collections.Counter((r.doc_id, r.n_shingles, r.n_links) for r in jaccard.jaccard_components(df).collect())
+    assert got == {(5, 96, 1): 2, (3, 96, 1): 1, (4, 97, 2): 2, (5, 98, 1): 1, (5, 0, 0): 1, (9, 1, 0): 1, (9, 3, 1): 1, (8, 3, 1): 1}
+
+
 def test_sketches_bound_the_difference():
     rng = np.random.default_rng(3)
     for _ in range(50):

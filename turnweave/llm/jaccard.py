@@ -14,18 +14,23 @@ adjoin; documents near the upper border take part in the next band too.
 Work on large groups: rows with equal sets are one class, and a map task emits a class once. In each bucket
 all members are first verified against the smallest one; only what that leaves in different components is
 compared with each other, behind the Hamming bound of a folded sketch, and verified on the sets.
+
+Counting links: both ends of a link lie in one component. The classes of a component are compared all with all,
+by size bands and in blocks of at most about ``LINK_SETS`` classes, and a link counts once for each document that
+has the other text. Each pair of blocks is a group of its own, so a large component is spread over the tasks.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, materialize
@@ -40,6 +45,8 @@ FOLDED_WORDS = 16
 BATCH_SHINGLES = 1 << 19
 CACHE_SIZE = 400_000
 CLASSES_SEEN = 200_000
+#: Classes and shingles of a block in which links are counted; shingles that are multiplied at a time.
+LINK_SETS, LINK_SHINGLES, LINK_CHUNK = 256, 1_000_000, 4096
 #: Rows of an Arrow batch: each may hold a whole text or two sets.
 ARROW_ROWS = 400
 
@@ -186,7 +193,7 @@ def shingle_table(df: DataFrame, size: int, key: str, text: str) -> DataFrame:
 
 
 def segment_keys(shingles: DataFrame, threshold: Fraction) -> DataFrame:
-    """``key, doc``: the join keys; of the rows of one class a task emits the first only."""
+    """``key, id``: the join keys; of the rows of one class a task emits the first only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(threshold), set()
@@ -204,18 +211,18 @@ def segment_keys(shingles: DataFrame, threshold: Fraction) -> DataFrame:
                     docs.append(np.full(len(k), doc, np.int64))
                     held += len(k)
                 if held >= BATCH_SHINGLES:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(docs))], ["key", "doc"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(docs))], ["key", "id"])
                     keys, docs, held = [], [], 0
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(docs))], ["key", "doc"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(docs))], ["key", "id"])
 
-    return shingles.where("n > 0 and doc is not null").select("doc", "class", "shingles").mapInArrow(run, "key long, doc long")
+    return shingles.where("n > 0 and doc is not null").select("id", "class", "shingles").mapInArrow(run, "key long, id long")
 
 
 def verified(pairs: DataFrame, shingles: DataFrame, threshold: Fraction) -> DataFrame:
     """The pairs ``a, b`` whose sets have the Jaccard similarity."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    sets = bitmap_filter(shingles.where("n > 0"), "doc", ids).select("doc", "shingles")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = bitmap_filter(shingles.where("n > 0"), "id", ids).select("id", "shingles")
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     p, q = threshold.numerator, threshold.denominator
 
@@ -231,32 +238,129 @@ def verified(pairs: DataFrame, shingles: DataFrame, threshold: Fraction) -> Data
     return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def jaccard_components(df: DataFrame, threshold: Fraction = Fraction(4, 5), size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+def common_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``left`` has in common with each of ``right``."""
+    sets = left + right
+    _, value, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    number = np.cumsum(uses > 1) - 1
+    several = uses[value] > 1
+    value, owner = number[value[several]], owner[several]
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    out = np.zeros((len(left), len(right)), np.int64)
+    for low in range(0, int(value[-1]) + 1 if len(value) else 0, LINK_CHUNK):
+        at = slice(*np.searchsorted(value, [low, low + LINK_CHUNK]))
+        has = np.zeros((len(sets), int(value[at][-1]) - low + 1), np.float32)
+        has[owner[at], value[at] - low] = 1
+        out += np.rint(has[: len(left)] @ has[len(left) :].T).astype(np.int64)
+    return out
+
+
+def links_between_classes(component: DataFrame, weight: DataFrame, live: DataFrame, threshold: Fraction) -> DataFrame:
+    """``node, links``: how many documents have a similar text of another class, for the classes in ``component``.
+
+    Sizes of a pair lie in one band or in two that adjoin. A component that fits a block is one group; of a larger
+    one each pair of blocks is a group, to which a class goes once.
+    """
+    step = -math.log(threshold) * 1.001  # a little more than the ratio of sizes, against rounding
+    band = F.floor(F.log("n") / step).cast("int").alias("band")
+    named = component.withColumnRenamed("node", "id")
+    size = bitmap_filter(live, "id", named.select("id")).select("id", "n", band).join(named, "id")
+    size = size.groupBy("component", "band").agg(F.count("*").alias("m"), F.sum("n").alias("held"))
+    blocks = F.greatest(F.ceil(F.col("m") / LINK_SETS), F.ceil(F.col("held") / LINK_SHINGLES)).cast("int")
+    large = size.groupBy("component").agg(F.sum("m").alias("m"), F.sum("held").alias("held"), F.map_from_entries(F.collect_list(F.struct("band", blocks))).alias("blocks"))
+    large = materialize(large.where((F.col("m") > LINK_SETS) | (F.col("held") > LINK_SHINGLES)).select("component", "blocks"), "large-components")
+
+    sets = bitmap_filter(live, "id", named.select("id")).select("id", "n", band, "shingles").join(named, "id").join(weight.withColumnRenamed("node", "id"), "id")
+    sets = sets.join(large, "component", "left")
+    here, none = F.col("blocks")[F.col("band")], F.array().cast("array<struct<b0:int,i0:int,b1:int,i1:int,side:int>>")
+    cell = lambda b0, i0, b1, i1, side: F.struct(*(x.cast("int").alias(k) for x, k in zip((b0, i0, b1, i1, side), ("b0", "i0", "b1", "i1", "side"), strict=True)))
+    b, i, zero = F.col("band"), F.col("block"), F.lit(0)
+    each = lambda n, f: F.when(n.isNotNull(), F.transform(F.sequence(zero, n - 1), f)).otherwise(none)
+    cells = F.concat(
+        each(here, lambda j: cell(b, F.least(i, j), b, F.greatest(i, j), (i > j).cast("int"))),
+        each(F.try_element_at("blocks", b + 1), lambda j: cell(b, i, b + 1, j, zero)),
+        each(F.try_element_at("blocks", b - 1), lambda j: cell(b - 1, j, b, i, F.lit(1))),
+    )
+    sets = sets.withColumn("block", F.pmod(F.xxhash64("id"), F.coalesce(here, F.lit(1))).cast("int"))
+    sets = sets.withColumn("cell", F.explode(F.when(F.col("blocks").isNull(), F.array(cell(zero, zero, zero, zero, zero))).otherwise(cells)))
+    p, q = threshold.numerator, threshold.denominator
+
+    def count(table: pa.Table) -> pa.Table:
+        _, first = np.unique(table.column("id").to_numpy(), return_index=True)  # repeated rows
+        table = table.take(pa.array(first))
+        ids, weights, side = (table.column(k).to_numpy() for k in ("id", "weight", "side"))
+        data = [_from_bytes(x) for x in table.column("shingles").to_pylist()]
+        n = np.array([len(s) for s in data])
+        inside = all(table.column(x)[0] == table.column(y)[0] for x, y in (("b0", "b1"), ("i0", "i1")))
+        left, right = (np.arange(len(ids)),) * 2 if inside else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        if not len(left) or not len(right):
+            return pa.table({"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+        common = common_shingles([data[k] for k in left], [data[k] for k in right])
+        link = q * common >= p * (n[left][:, None] + n[right][None, :] - common)
+        if inside:
+            np.fill_diagonal(link, False)
+            return pa.table({"node": ids, "links": link @ weights})
+        return pa.table({"node": np.concatenate([ids[left], ids[right]]), "links": np.concatenate([link @ weights[right], weights[left] @ link])})
+
+    cut = sets.select("component", "cell.*", "id", "weight", "shingles")
+    found = cut.groupBy("component", "b0", "i0", "b1", "i1").applyInArrow(count, "node long, links long")
+    return found.groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def jaccard_components(df: DataFrame, threshold: Fraction = Fraction(4, 5), size: int = 5, key: str = "doc_id", text: str = "text", count_links: bool = True) -> DataFrame:
     """``key, n_shingles, component_id, n_links``: one row for each row of ``df``.
 
-    ``component_id`` is the smallest key reachable by links, ``n_links`` the number of links that were verified
-    between the row's set and different sets (a spanning part of them, not all). Empty and null texts have no
-    shingles and link with nothing. Rows that share a key count as one document, so they share a component; a
-    row with a null key links with nothing and has a null component. Repeated rows stay.
+    ``component_id`` is the smallest key reachable by links, ``n_links`` the number of other documents whose set has
+    the similarity with the row's, equal ones included (a document with several texts counts once a text); without
+    ``count_links`` it is left out. Empty and null texts have no shingles and link with nothing. Rows that share a
+    key count as one document, so they share a component; a row with a null key links with nothing and has a null
+    component. Repeated rows stay.
     """
     with arrow_rows(df.sparkSession, ARROW_ROWS):
-        return _components(df, threshold, size, key, text)
+        return _components(df, threshold, size, key, text, count_links)
 
 
-def _components(df: DataFrame, threshold: Fraction, size: int, key: str, text: str) -> DataFrame:
+def _nodes(live: DataFrame) -> DataFrame:
+    """``class, node``: the smallest document of a class, or a number above all where that one stands for another class."""
+    classes = materialize(live.groupBy("class").agg(F.min("doc").alias("node")), "classes")
+    several = classes.groupBy("node").agg(F.min("class").alias("first"), F.max("class").alias("last")).where("first < last")
+    clash = materialize(classes.join(several, "node").where("class > first").select("class"), "clashes")
+    if clash.isEmpty():
+        return classes
+    top = live.agg(F.max("doc")).first()[0]
+    number = clash.select("class", (F.lit(top).cast("long") + F.row_number().over(Window.orderBy("class"))).alias("number"))
+    return materialize(classes.join(number, "class", "left").select("class", F.coalesce("number", "node").alias("node")), "nodes")
+
+
+def _components(df: DataFrame, threshold: Fraction, size: int, key: str, text: str, count_links: bool) -> DataFrame:
     shingles = materialize(shingle_table(df, size, key, text), "shingles")
     live = shingles.where("n > 0 and doc is not null")
-    classes = live.groupBy("class").agg(F.min("doc").alias("rep"))
-    member = materialize(live.select("doc", "class").join(classes, "class").select("doc", "rep"), "members")
-    same = member.groupBy("doc").agg(F.collect_set("rep").alias("reps")).where(F.size("reps") > 1)
-    same = same.select(F.array_min("reps").alias("a"), F.explode("reps").alias("b")).where("a < b")
+    nodes = _nodes(live)
+    member = materialize(live.select("doc", "class").join(nodes, "class").select("doc", "node"), "members")
+    several = materialize(member.groupBy("doc").agg(F.collect_set("node").alias("nodes")).where(F.size("nodes") > 1), "several")
+    same = several.select(F.array_min("nodes").alias("a"), F.explode("nodes").alias("b")).where("a < b")
+    # The id of a row is its document, or the node of its class where the document has several.
+    repeated = not several.isEmpty()
+    if repeated:
+        one_of = several.select("doc", F.array_min("nodes").alias("any"))
+        shingles = shingles.join(nodes, "class", "left").join(one_of, "doc", "left").withColumn("id", F.when(F.col("any").isNull(), F.col("doc")).otherwise(F.coalesce("node", "any"))).drop("node", "any")
+        shingles = materialize(shingles, "named-shingles")
+        single = member.join(several, "doc", "left_anti")
+        own = several.select(F.explode("nodes").alias("node"))
+        one = single.union(own.select(F.col("node").alias("doc"), "node")).distinct().withColumnRenamed("doc", "id")
+    else:
+        shingles = shingles.withColumn("id", F.col("doc"))
+        one = member.distinct().withColumnRenamed("doc", "id")
+    live = shingles.where("n > 0 and doc is not null")
 
     keys = segment_keys(shingles, threshold)
     keys.createOrReplaceTempView("turnweave_segment_keys")
-    shared = df.sparkSession.sql("select key, doc from (select key, doc, min(doc) over (partition by key) lo, max(doc) over (partition by key) hi from turnweave_segment_keys) where lo < hi")
+    shared = df.sparkSession.sql("select key, id from (select key, id, min(id) over (partition by key) lo, max(id) over (partition by key) hi from turnweave_segment_keys) where lo < hi")
     df.sparkSession.catalog.dropTempView("turnweave_segment_keys")
-    one = member.groupBy("doc").agg(F.min("rep").alias("rep"))
-    shared = materialize(shared, "shared-segments").join(one, "doc").select("key", "rep").distinct()
+    one = one.withColumnRenamed("node", "rep")
+    shared = materialize(shared, "shared-segments").join(one, "id").select("key", "rep").distinct()
     centre = shared.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last").select("key", "centre")
     buckets = materialize(shared.join(centre, "key"), "buckets")
 
@@ -267,8 +371,8 @@ def _components(df: DataFrame, threshold: Fraction, size: int, key: str, text: s
     found = buckets.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "centre", F.coalesce("component", "rep").alias("component"))
     mixed = found.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     open_ = found.join(mixed, "key").where("rep > centre")  # the smallest member has been compared with all
-    ids = open_.select(F.col("rep").alias("doc")).distinct()
-    sketch = bitmap_filter(live, "doc", ids).select(F.col("doc").alias("rep"), F.col("n"), "folded").dropDuplicates(["rep"])
+    ids = open_.select(F.col("rep").alias("id")).distinct()
+    sketch = bitmap_filter(live, "id", ids).select(F.col("id").alias("rep"), F.col("n"), "folded").dropDuplicates(["rep"])
     half = open_.join(sketch, "rep").select("key", "rep", "component", "n", *(F.conv(F.hex(F.substring("folded", 4 * k + 1, 4)), 16, 10).cast("long").alias(f"w{k}") for k in range(2 * FOLDED_WORDS)))
     half = materialize(half, "open-segments")
     x, y = half.alias("x"), half.alias("y")
@@ -280,8 +384,20 @@ def _components(df: DataFrame, threshold: Fraction, size: int, key: str, text: s
     links = links.union(more)
     component = connected_components(links)
 
-    count = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    full = one.join(component.withColumnRenamed("node", "rep"), "rep", "left").join(count, "rep", "left")
-    full = full.select("doc", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = shingles.select("doc", "n").join(full, "doc", "left")
-    return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    full = one.join(component.withColumnRenamed("node", "rep"), "rep", "left")
+    if count_links:
+        weight = member.distinct().groupBy("node").agg(F.count("*").alias("weight"))
+        count = weight.join(links_between_classes(component, weight, live, threshold), "node", "left")
+        count = count.select(F.col("node").alias("rep"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        full = full.join(count, "rep", "left")
+    full = full.select("id", F.coalesce("component", "rep").alias("component"), *(["n_links"] if count_links else []))
+    out = shingles.select("doc", "id", "n").join(full, "id", "left")
+    if count_links and repeated:  # what a document's own other texts add
+        pairs = several.select("doc", F.explode("nodes").alias("a"), "nodes").select("doc", "a", F.explode("nodes").alias("b")).where("a != b")
+        like = verified(pairs.select("a", "b").distinct(), shingles, threshold).distinct()
+        less = pairs.join(like, ["a", "b"]).groupBy("doc", F.col("a").alias("id")).agg(F.count("*").alias("less"))
+        out = out.join(less, ["doc", "id"], "left").withColumn("n_links", F.col("n_links") - F.coalesce("less", F.lit(0)))
+    columns = [F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")]
+    if count_links:
+        columns.append(F.when(F.col("n") > 0, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
+    return out.select(*columns)

@@ -56,7 +56,13 @@ def op7_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text")).drop("n_links")
+    """The components alone, the columns of the SQL twin."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"), count_links=False)
+
+
+def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join: the components and each document's exact number of links."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +87,7 @@ def stage_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Rows without an id are kept as they are.
     """
-    found = jaccard.jaccard_components(docs)
+    found = jaccard.jaccard_components(docs, count_links=False)
     first = found.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(first, "doc_id", "left_semi")
     again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
@@ -110,7 +116,7 @@ def stage_byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    own = (op1_url_rules, op2_token_counts, op3_byte_bpe, op4_warc, op5_token_file, op6_quality, op7_backoff, op8_jaccard, op9_pii, op10_decontamination)
+    own = (op1_url_rules, op2_token_counts, op3_byte_bpe, op4_warc, op5_token_file, op6_quality, op7_backoff, op8_jaccard, op8_jaccard_links, op9_pii, op10_decontamination)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
