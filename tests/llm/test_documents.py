@@ -284,6 +284,14 @@ def test_backoff_of_nothing(docs):
     assert sorted((r.doc_id, r.n_words, r.log10_score, r.log10_mean) for r in out) == [(9000, 0, 0.0, None), (9001, 0, 0.0, None)]
 
 
+def test_backoff_of_equal_blocks(spark):
+    df = spark.createDataFrame([(1, "a b c a b"), (2, "b c")], "doc_id long, text string").coalesce(1)
+    for block_words in (10**6, 1):
+        got = backoff.stupid_backoff(df.union(df), block_words=block_words).collect()
+        assert sorted(r.doc_id for r in got) == [1, 1, 2, 2]
+        assert len({(r.doc_id, r.log10_score) for r in got}) == 2
+
+
 # Decontamination
 
 

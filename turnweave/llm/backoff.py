@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,15 +75,16 @@ def _blocks(df: DataFrame, folder: str, order: int, buckets: int, block_words: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs: list = []
         hashes: list[np.ndarray] = []
-        held = 0
+        held = closed = 0
 
         def close() -> pa.RecordBatch:
-            nonlocal docs, hashes, held
+            nonlocal docs, hashes, held, closed
             lengths = np.array([len(h) for h in hashes], np.int64)
             stream = np.concatenate([np.empty(0, np.uint64), *hashes])
             data = dump_block(docs, lengths, stream)
-            # Named by content: a task that runs again writes the same file and sends the same rows.
-            name = hashlib.blake2b(data, digest_size=16).hexdigest()
+            # Named by content, task and number in the task: a task that runs again writes the same file and sends
+            # the same rows, and equal blocks stay apart.
+            name = f"{hashlib.blake2b(data, digest_size=16).hexdigest()}-{TaskContext.get().partitionId()}-{closed}"
             write_file(folder, name, data, exact=True)
             rows: dict[str, list] = {"block": [name], "n": [0], "bucket": [int(name[:12], 16) % buckets], "grams": [len(stream).to_bytes(8, "big")], "counts": [b""]}
             for n in range(1, order + 1):
@@ -92,7 +94,7 @@ def _blocks(df: DataFrame, folder: str, order: int, buckets: int, block_words: i
                     part = slice(cuts[k], cuts[k + 1])
                     for column, value in zip(rows, (name, n, k, grams[part].tobytes(), zlib.compress(counts[part].astype(np.uint32).tobytes(), 1)), strict=True):
                         rows[column].append(value)
-            docs, hashes, held = [], [], 0
+            docs, hashes, held, closed = [], [], 0, closed + 1
             return pa.RecordBatch.from_pydict(rows, pa.schema([("block", pa.string()), ("n", pa.int32()), ("bucket", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())]))
 
         for batch in batches:
