@@ -98,6 +98,19 @@ def test_quality(spark, docs):
     assert rejected
 
 
+def test_quality_rejects_other_languages_and_gibberish(spark, docs):
+    labels = table(spark, SMALL, "labels")
+    references = quality.fit_references(docs, labels)
+    rng = random.Random(5)
+    gibberish = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(5)) for _ in range(200))
+    german = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(4)) if k % 4 else rng.choice(["der", "die", "und", "das"]) for k in range(200))
+    rows = [(k, t, lang) for k, t in enumerate((gibberish, german)) for lang in references if (k, lang) != (1, "de")]
+    got = quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"), references).collect()
+    assert len(got) == len(rows) and not any(r.kept or r.base_failed for r in got)
+    good = docs.join(labels.where("quality = 1 and toxic = 0").select("doc_id").distinct(), "doc_id", "left_semi")
+    assert quality.quality_rules(good, references).where("not base_failed and word_distance > 0.31").count() == 0
+
+
 def test_quality_without_labels_or_rows(spark, docs):
     labels = table(spark, SMALL, "labels")
     assert quality.fit_references(docs, labels.limit(0)) == {}
@@ -285,7 +298,7 @@ def test_backoff_of_nothing(docs):
 
 
 def test_backoff_of_equal_blocks(spark):
-    df = spark.createDataFrame([(1, "a b c a b"), (2, "b c")], "doc_id long, text string").coalesce(1)
+    df = spark.createDataFrame([(1, "a b c a b"), (2, "b c")], "doc_id long, text string")
     for block_words in (10**6, 1):
         got = backoff.stupid_backoff(df.union(df), block_words=block_words).collect()
         assert sorted(r.doc_id for r in got) == [1, 1, 2, 2]
