@@ -71,6 +71,18 @@ def test_mining_keeps_within_its_bound(spark):
     assert url_rules.mine_rules(labelled.limit(0)) == []
 
 
+def test_more_rules_than_a_broadcast_holds(spark):
+    rows = [(f"http://{'bad' if k % 2 else 'good'}.site{k % 5}.com/{'win' if k % 3 == 0 else 'news'}/{'abcd'[k % 4]}", k % 2 == 1 and k % 3 == 0) for k in range(240)]
+    rows += [(f"http://x{c}.y{c}/p{c}", True) for c in "abcdefgh" for _ in range(5)]
+    labelled = spark.createDataFrame(rows, "url string, blocked boolean")
+    few = url_rules.mine_rules(labelled, min_support=0.015)
+    many = url_rules.mine_rules(labelled, min_support=0.015, max_rules=3)
+    assert len(few) > 3 and sorted((sorted(t), c) for t, c in few) == sorted((r.tokens, r.confidence) for r in many.collect())
+    pages = spark.createDataFrame([(k % 250, u) for k, (u, _) in enumerate(rows)] + [(None, None), (1, "http://xa.new.org/"), (2, "http://bad.a.net/win")], "page_id long, url string")
+    got = [sorted(map(tuple, url_rules.judge_urls(pages, {"net/": "allow"}, m).collect()), key=repr) for m in (few, many)]
+    assert got[0] == got[1] and {r[-1] for r in got[0]} == {"allow", "block"}
+
+
 def test_urls_of_an_empty_table(spark):
     assert url_rules.judge_urls(spark.createDataFrame([], "page_id long, url string"), queries.URL_RULES, []).count() == 0
 

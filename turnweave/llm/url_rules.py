@@ -6,8 +6,8 @@ minimum support and confidence. Rules that say no more than a shorter one are pr
 through an inverted index: a rule stands under its rarest token, and a URL only tries the rules under tokens
 it has.
 
-The number of rules has a bound (``MAX_RULES``): if the mining gives more, the support is doubled until it does
-not (then the rules are made shorter), so the index that is broadcast never grows with the data.
+Pruning is a join over the tasks, with support and confidence as given. Up to ``MAX_RULES`` minimal rules are
+broadcast as an index; if there are more, they stay a table and are matched by a join on the indexed token.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 MIN_SUPPORT, MIN_CONFIDENCE, MAX_ITEMS, MAX_RULES = 0.002, 0.8, 5, 100_000
 BLOCK, ALLOW = "block", "allow"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -57,30 +59,35 @@ def listed_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return out
 
 
-def mine_rules(labelled: DataFrame, url: str = "url", blocked: str = "blocked", min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_items: int = MAX_ITEMS, max_rules: int = MAX_RULES) -> list[tuple[frozenset[str], float]]:
-    """(tokens, confidence) of the rules for "block", mined from rows with a label; null labels are left out."""
+def mine_rules(labelled: DataFrame, url: str = "url", blocked: str = "blocked", min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_items: int = MAX_ITEMS, max_rules: int = MAX_RULES) -> list[tuple[frozenset[str], float]] | DataFrame:
+    """(tokens, confidence) of the minimal rules for "block", mined from rows with a label; null labels are left out.
+
+    Over ``max_rules`` of them are returned as a table ``tokens, confidence``.
+    """
     from pyspark.ml.fpm import FPGrowth
 
     items = labelled.where(F.col(blocked).isNotNull()).select(F.concat(tokens_of(F.col(url)), F.array(F.when(F.col(blocked), BLOCK).otherwise(ALLOW))).alias("items")).persist()
     try:
         if items.isEmpty():
             return []
-        while True:
-            model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-            rules = model.associationRules.where((F.element_at("consequent", 1) == BLOCK) & (F.size("antecedent") <= max_items))
-            rows = rules.where(~F.array_contains("antecedent", ALLOW)).select("antecedent", "confidence").limit(max_rules + 1).collect()
-            if len(rows) <= max_rules:
-                return pruned([(frozenset(r["antecedent"]), r["confidence"]) for r in rows])
-            if min_support < 0.5:
-                min_support *= 2
-            elif max_items > 1:
-                max_items -= 1
-            else:
-                return []
+        model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+        rules = model.associationRules.where((F.element_at("consequent", 1) == BLOCK) & (F.size("antecedent") <= max_items))
+        rules = rules.where(~F.array_contains("antecedent", ALLOW)).select(F.array_sort("antecedent").alias("tokens"), "confidence")
+        rules = materialize(minimal(materialize(rules, "rules")), "minimal-rules")
+        rows = rules.limit(max_rules + 1).collect()
+        return rules if len(rows) > max_rules else pruned([(frozenset(r["tokens"]), r["confidence"]) for r in rows])
     finally:
         items.unpersist()
 
 
+def minimal(rules: DataFrame) -> DataFrame:
+    """``tokens`` (sorted), ``confidence`` without the rules that have all tokens of a shorter one and no more confidence."""
+    parts = F.expr("transform(sequence(1L, shiftleft(1L, size(tokens)) - 2), m -> filter(tokens, (x, i) -> getbit(m, i) = 1))")
+    part = rules.where(F.size("tokens") > 1).select(F.col("tokens").alias("whole"), F.col("confidence").alias("c"), F.explode(parts).alias("tokens"))
+    less = part.join(rules, "tokens").where("confidence >= c").select(F.col("whole").alias("tokens")).distinct()
+    return rules.join(less, "tokens", "left_anti").select("tokens", "confidence")
+
+
 def pruned(rules: list[tuple[frozenset[str], float]]) -> list[tuple[frozenset[str], float]]:
     """Rules without those that have all tokens of a shorter rule and no more confidence."""
     kept: list[tuple[frozenset[str], float]] = []
@@ -109,15 +116,30 @@ def best_confidence(tokens: list[str], index: dict[str, list[tuple[frozenset[str
     return max((c for t in have for rule, c in index.get(t, ()) if rule <= have), default=None)
 
 
-def judge_urls(df: DataFrame, rules: dict[str, str], mined: list[tuple[frozenset[str], float]], key: str = "page_id", url: str = "url") -> DataFrame:
+def matched(urls: DataFrame, mined: DataFrame) -> DataFrame:
+    """``urls`` with ``confidence``: the best of the rules of a table whose tokens are all there."""
+    of = mined.select(F.explode("tokens").alias("token"), F.col("tokens").alias("needed"), F.col("confidence").alias("c"))
+    uses = of.groupBy("token").agg(F.count("*").alias("uses"))
+    index = of.join(uses, "token").groupBy("needed", "c").agg(F.min(F.struct("uses", "token"))["token"].alias("token"))
+    have = urls.select("tokens").distinct().select("tokens", F.explode("tokens").alias("token"))
+    best = have.join(materialize(index, "rule-index"), "token").where(F.size(F.array_except("needed", "tokens")) == 0)
+    return urls.join(best.groupBy("tokens").agg(F.max("c").alias("confidence")), "tokens", "left")
+
+
+def judge_urls(df: DataFrame, rules: dict[str, str], mined: list[tuple[frozenset[str], float]] | DataFrame, key: str = "page_id", url: str = "url") -> DataFrame:
     """``key, host, path, rule, confidence, verdict`` of every row.
 
     A rule of the list decides; where none fits, a mined rule that matches blocks and else the row is allowed. A
     null url, or one without ``://``, has empty host and path, fits no rule and is allowed. Repeated rows stay.
     """
-    shared = df.sparkSession.sparkContext.broadcast(inverted_index(mined))
     out = df.select(F.col(key).alias("key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"), tokens_of(F.col(url)).alias("tokens"))
     out = out.withColumn("rule", listed_rule(F.col("host"), F.col("path"), rules))
+    if isinstance(mined, DataFrame):
+        verdict = F.when(F.col("confidence").isNull(), ALLOW).otherwise(BLOCK)
+        for rule, listed in rules.items():
+            verdict = F.when(F.col("rule") == rule, listed).otherwise(verdict)
+        return matched(out, mined).select(F.col("key").alias(key), "host", "path", "rule", "confidence", verdict.alias("verdict"))
+    shared = df.sparkSession.sparkContext.broadcast(inverted_index(mined))
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
