@@ -401,6 +401,24 @@ def test_pseudonyms(private):
     assert [r.text for r in out if r.doc_id == 0] == [by[0].text] * 2 == [r.text for r in out if r.doc_id is None] * 2
 
 
+def test_values_that_end_oddly_or_are_written_otherwise(spark):
+    mails = ["jane@example.com-based", "jane@example.com--", "jane@example.com- x", "jane@example.com.1", "jane@mail.example.com-based.org now"]
+    days = [f"{m:02}/{d:02}/{y}" for y in (1800, 1900, 1999, 2000, 2199) for m in range(1, 13) for d in range(13, 32)]
+    valid = [x for x in days if not (x[:5] in ("02/30", "02/31") or x[:5] == "02/29" and x[6:] != "2000" or x[3:5] == "31" and x[:2] in ("04", "06", "09", "11"))]
+    secrets = ["9233A8EC" * 5, "9233A8ec" * 5]
+    df = spark.createDataFrame(list(enumerate(mails + days + secrets)), "doc_id long, text string")
+    there = pii.pseudonymise(df, "key")
+    out = {r.doc_id: r for r in there.collect()}
+    found = [v.value for k in range(len(mails)) for v in out[k].pii]
+    assert found == ["jane@example.com"] * 4 + ["jane@mail.example.com-based.org"] and not any("jane" in out[k].text for k in range(len(mails)))
+    dates = {v.value: v.pseudonym for r in out.values() for v in r.pii if v.kind == "date"}
+    assert set(dates) == set(valid) and len(set(dates.values())) == len(valid)
+    assert all(re.fullmatch(r"(0[1-9]|1[0-2])/(1[3-9]|2[0-9]|3[01])/(1[89]|2[01])[0-9]{2}", x) for x in dates.values())
+    assert [v.kind for k in (-2, -1) for v in out[len(out) + k].pii] == ["secret"] * 2 and re.fullmatch("[0-9A-F]{40}", out[len(out) - 2].text)
+    back = pii.pseudonymise(there.select("doc_id", "text"), "key", sign=-1)
+    assert sorted(back.select("doc_id", "text").collect()) == sorted(df.collect())
+
+
 def test_pseudonyms_can_be_inverted(private, docs):
     for df in (private.select("doc_id", "text"), docs.select("doc_id", "text")):
         there = pii.pseudonymise(df, "key")

@@ -6,6 +6,7 @@ within its own format by a keyed Feistel network whose round function is SHA-256
 
 * digits stay digits and letters stay letters of their case, at their places, separators included;
 * a card keeps its length and gets the check digit that makes it valid again;
+* a date with slashes is dd/MM/yyyy if it can be, else MM/dd/yyyy, and stays what it is;
 * an address stays four octets; a date stays a date of the same 400 Gregorian years (146,097 days = 189 * 773);
 * of an e-mail address the local part is permuted, of a telephone number the ten national digits.
 
@@ -23,15 +24,17 @@ from .common import let
 ROUNDS = 8
 #: First day and number of days of the dates that are permuted, and the two factors of that number.
 FIRST_DAY, DAYS, DAY_FACTORS = "1800-01-01", 146_097, (189, 773)
+#: Months of those years, and the days after the 12th of a month (all that only MM/dd/yyyy can mean) with their factors.
+MONTHS, LATE_DAYS, LATE_FACTORS = 4_800, 88_497, (9, 9_833)
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)*+(?<=\.[A-Za-z]{2,24})"
+_EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]++\.){1,126}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 _DATE = r"(?<![0-9./\-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./\-][0-9])"
 _ADDRESS = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 _PHONE = r"(?<![0-9A-Za-z+])(?:\+?[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\)[ .\-]?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9])"
 _SSN = r"(?<![0-9\-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9]|-[0-9])"
 _CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){2}[ \-][0-9]{1,4}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9])"
-_SECRET = r"(?<![A-Za-z0-9])(?=[0-9]{0,63}[a-f])(?=[a-f]{0,63}[0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])"
+_SECRET = r"(?<![A-Za-z0-9])(?=[0-9]{0,63}[A-Fa-f])(?=[A-Fa-f]{0,63}[0-9])[0-9A-Fa-f]{32,64}(?![A-Za-z0-9])"
 ANY = "|".join((_EMAIL, _ADDRESS, _DATE, _PHONE, _SSN, _SECRET, _CARD))
 
 KINDS = ("email", "address", "date", "phone", "ssn", "secret", "card")
@@ -163,7 +166,32 @@ def _date(value: Column, key: str, sign: int) -> Column:
             out = t if out is None else F.when(is_, t).otherwise(out)
         return out
 
-    return let(n, lambda n: F.when((n >= 0) & (n < DAYS), let(feistel_numbers(F.floor(n / DAY_FACTORS[1]), n % DAY_FACTORS[1], DAY_FACTORS, key, "date", sign), written)))
+    usual = let(n, lambda n: F.when((n >= 0) & (n < DAYS), let(feistel_numbers(F.floor(n / DAY_FACTORS[1]), n % DAY_FACTORS[1], DAY_FACTORS, key, "date", sign), written)))
+    month_first = value.rlike("^[0-9]{2}/") & F.try_to_timestamp(value, F.lit("dd/MM/yyyy")).isNull()
+    return F.when(month_first, _month_first(value, key, sign)).otherwise(usual)
+
+
+def _month_first(value: Column, key: str, sign: int) -> Column:
+    """A MM/dd/yyyy with a day over 12, permuted among these; null if it is no day of the calendar."""
+    first = F.lit(FIRST_DAY).cast("date")
+    # How many days after the 12th there are before a month.
+    before = lambda m: F.date_diff(F.add_months(first, m), first) - m * 12
+
+    def written(s: Column) -> Column:
+        def day(r: Column) -> Column:
+            near = (F.floor(r * MONTHS / LATE_DAYS) - 2).cast("int")
+            month = let(near, lambda m: m - 1 + sum(((before(m + k) <= r).cast("int") for k in range(1, 5)), F.lit(1)))
+            return let(month, lambda m: F.date_format(F.date_add(F.add_months(first, m), (r - before(m) + 12).cast("int")), "MM/dd/yyyy"))
+
+        return let(s["l"] * LATE_FACTORS[1] + s["r"], day)
+
+    def moved(d: Column) -> Column:
+        m = (F.year(d) - int(FIRST_DAY[:4])) * 12 + F.month(d) - 1
+        rank = let(m, lambda m: before(m) + F.dayofmonth(d) - 13)
+        return let(rank, lambda n: let(feistel_numbers(F.floor(n / LATE_FACTORS[1]), n % LATE_FACTORS[1], LATE_FACTORS, key, "late date", sign), written))
+
+    parsed = F.try_to_timestamp(value, F.lit("MM/dd/yyyy")).cast("date")
+    return let(parsed, lambda d: F.when(d.isNotNull() & F.date_diff(d, first).between(0, DAYS - 1), moved(d)))
 
 
 def kind_of(value: Column) -> Column:
@@ -181,7 +209,9 @@ def pseudonym(value: Column, kind: Column, key: str, sign: int = 1) -> Column:
     out = F.when(kind == "email", F.concat(feistel_text(local(), key, "email", (_LOWER, _UPPER, _DIGIT), sign), F.regexp_extract(value, "^([^@]*)(@.*)$", 2)))
     for name, f in (("address", _address), ("date", _date), ("phone", _phone), ("ssn", _ssn), ("card", _card)):
         out = out.when(kind == name, f(value, key, sign))
-    return out.when(kind == "secret", feistel_text(value, key, "secret", (_HEX,), sign)).otherwise(value)
+    secret = lambda *alphabets: feistel_text(value, key, "secret", alphabets, sign)
+    lower, upper = ~value.rlike("[A-F]"), ~value.rlike("[a-f]")
+    return out.when((kind == "secret") & lower, secret(_HEX)).when((kind == "secret") & upper, secret(_HEX.upper())).when(kind == "secret", secret(_DIGIT, _HEX[10:], _HEX[10:].upper())).otherwise(value)
 
 
 def pseudonymise(df: DataFrame, key: str, text: str = "text", sign: int = 1) -> DataFrame:
