@@ -297,6 +297,12 @@ def test_backoff_of_nothing(docs):
     assert sorted((r.doc_id, r.n_words, r.log10_score, r.log10_mean) for r in out) == [(9000, 0, 0.0, None), (9001, 0, 0.0, None)]
 
 
+def test_the_query_scores_by_contexts_of_two_words(spark):
+    df = spark.createDataFrame([(1, "a b c"), (2, "a b c"), (3, "x b d"), (4, "x b d")], "doc_id long, text string")
+    got = {r.doc_id: r.log10_score for r in backoff.stupid_backoff(df).collect()}
+    assert all(abs(got[k] - math.log10(2 / 12)) < 1e-9 for k in got)  # a word that follows two known ones is certain
+
+
 def test_backoff_of_equal_blocks(spark):
     df = spark.createDataFrame([(1, "a b c a b"), (2, "b c")], "doc_id long, text string")
     for block_words in (10**6, 1):

@@ -124,7 +124,7 @@ def _totals(table: pa.Table) -> pa.Table:
     return table.select(["block", "n", "bucket"]).append_column("totals", pa.array(totals, pa.binary()))
 
 
-def stupid_backoff(df: DataFrame, order: int = 2, alpha: float = 0.4, min_count: int = 2, key: str = "doc_id", text: str = "text", buckets: int | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
+def stupid_backoff(df: DataFrame, order: int = 3, alpha: float = 0.4, min_count: int = 2, key: str = "doc_id", text: str = "text", buckets: int | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``key, n_words, log10_score, log10_mean``: one row for each row of ``df``.
 
     Words are lower-cased (A-Z) and separated by ASCII white space; counts are over all rows. A null or empty
