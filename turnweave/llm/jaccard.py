@@ -11,9 +11,11 @@ it has fewer than m of those: some segment that says more is then still common.
 which agree by chance, out of the join without losing a pair. Sizes of a pair lie in one band or in two that
 adjoin; documents near the upper border take part in the next band too.
 
-Work on large groups: rows with equal sets are one class, and a map task emits a class once. In each bucket
-all members are first verified against the smallest one; only what that leaves in different components is
-compared with each other, behind the Hamming bound of a folded sketch, and verified on the sets.
+Work on large groups: rows with equal sets are one class, and a map task emits a class once. Each batch of keys
+sends the smallest and largest row of a key, so a key that very many sets have is a few rows when its smallest
+member is found; the members then meet that one row in a join which Spark can split. In each bucket all members
+are first verified against the smallest one; only what that leaves in different components is compared with each
+other, behind the Hamming bound of a folded sketch, and verified on the sets.
 
 Counting links: both ends of a link lie in one component. The classes of a component are compared all with all,
 by size bands and in blocks of at most about ``LINK_SETS`` classes, and a link counts once for each document that
@@ -26,25 +28,28 @@ import hashlib
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, materialize
 from .components import connected_components
 from .lookup import bitmap_filter
+from .spans import mix, word_hashes
 
 #: Growth of the size bands; bits of a segment; bits of the folded sketch (as 64-bit words).
 BAND_GROWTH = Fraction(3, 2)
 SEGMENT_BITS = 12
 FOLDED_WORDS = 16
-#: Shingles per output batch of a task; words in a worker's hash cache; classes that a task remembers.
-BATCH_SHINGLES = 1 << 19
-CACHE_SIZE = 400_000
+#: Characters that are hashed together; keys of a batch; classes that a task remembers; pairs to which a set goes once.
+BATCH_CHARS = 1 << 20
+BATCH_KEYS = 1 << 20
 CLASSES_SEEN = 200_000
+STAR_BLOCK = 256
 #: Classes and shingles of a block in which links are counted; shingles that are multiplied at a time.
 LINK_SETS, LINK_SHINGLES, LINK_CHUNK = 256, 1_000_000, 4096
 #: Rows of an Arrow batch: each may hold a whole text or two sets.
@@ -54,44 +59,34 @@ _MASK = (1 << 64) - 1
 _PRIME = 0x9E3779B97F4A7C15
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser."""
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
+    """For each text the sorted distinct 48-bit hashes of its ``size``-word shingles; fewer words are one shingle.
 
-
-class WordHashes(dict):
-    """Word (bytes) to its 64-bit hash, bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_SIZE:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = h
-        return h
-
-
-_hashes = WordHashes()
-
-
-def words(text: str | None) -> list[bytes]:
-    """Words of a text: A-Z lower-cased, separated by 0x20 and 0x09 to 0x0D only."""
-    return text.encode().lower().split() if text else []
+    Words are lower-cased (A-Z) and separated by 0x20 and 0x09 to 0x0D only.
+    """
+    hashes, counts = word_hashes(texts)
+    total = np.full(max(0, len(hashes) - size + 1), size, np.uint64)
+    for k in range(size):
+        total = total * np.uint64(_PRIME) + hashes[k : k + len(total)]
+    total = mix(total) >> np.uint64(16)
+    out = []
+    at = 0
+    for n in counts.tolist():
+        if n >= size:
+            out.append(np.unique(total[at : at + n - size + 1]))
+        elif n:
+            one = np.full(1, n, np.uint64)
+            for h in hashes[at : at + n]:
+                one = one * np.uint64(_PRIME) + h
+            out.append(mix(one) >> np.uint64(16))
+        else:
+            out.append(np.empty(0, np.uint64))
+        at += n
+    return out
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """Sorted distinct 48-bit hashes of the ``size``-word shingles; fewer words are one shingle."""
-    ws = words(text)
-    if not ws:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, ws), np.uint64, len(ws))
-    n = min(size, len(ws))
-    total = np.full(len(ws) - n + 1, n, np.uint64)
-    for k in range(n):
-        total = total * np.uint64(_PRIME) + h[k : len(ws) - n + 1 + k]
-    return np.unique(mix(total) >> np.uint64(16))
+    return shingle_sets([text], size)[0]
 
 
 def _to_bytes(s: np.ndarray) -> bytes:
@@ -166,64 +161,97 @@ class Bands:
 
 
 def shingle_table(df: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """``doc, n, class, folded, shingles``: the class is a digest of the set, null for the empty set."""
+    """``row, doc, n, class, folded, shingles``: ``row`` numbers the rows, the class is a digest of the set, null if empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
         for batch in batches:
-            docs, texts = batch.column(0), batch.column(1).to_pylist()
-            rows: list[tuple] = []
-            done = held = 0
-
-            def flush(rows: list[tuple], done: int, docs: pa.Array = docs) -> pa.RecordBatch:
-                cols = [docs.slice(done, len(rows))] + [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)]
-                return pa.RecordBatch.from_arrays(cols, ["doc", "n", "class", "folded", "shingles"])
-
-            for t in texts:
-                s = shingle_set(t, size)
-                data = _to_bytes(s)
-                rows.append((len(s), hashlib.blake2b(data, digest_size=16).digest() if len(s) else None, folded(s), data))
-                held += len(s)
-                if held >= BATCH_SHINGLES:
-                    yield flush(rows, done)
-                    done, rows, held = done + len(rows), [], 0
-            if rows:
-                yield flush(rows, done)
-
-    return df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).mapInArrow(run, "doc long, n long, class binary, folded binary, shingles binary")
-
-
-def segment_keys(shingles: DataFrame, threshold: Fraction) -> DataFrame:
-    """``key, id``: the join keys; of the rows of one class a task emits the first only."""
+            texts: list[str | None] = []
+            held = done = 0
+            for k, t in enumerate(batch.column(1).to_pylist(), 1):
+                texts.append(t)
+                held += len(t or "")
+                if held >= BATCH_CHARS or k == batch.num_rows:
+                    rows = []
+                    for s in shingle_sets(texts, size):
+                        data = _to_bytes(s)
+                        rows.append((len(s), hashlib.blake2b(data, digest_size=16).digest() if len(s) else None, folded(s), data))
+                    cols = [pa.array(np.arange(row, row + len(rows))), batch.column(0).slice(done, len(rows)), *(pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True))]
+                    yield pa.RecordBatch.from_arrays(cols, ["row", "doc", "n", "class", "folded", "shingles"])
+                    row += len(rows)
+                    done += len(rows)
+                    texts, held = [], 0
+
+    return df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).mapInArrow(run, "row long, doc long, n long, class binary, folded binary, shingles binary")
+
+
+def segment_keys(live: DataFrame, threshold: Fraction, combined: bool) -> DataFrame:
+    """``key, row``: the join keys of the sets; of the rows of one class a task emits the first only.
+
+    ``combined``: ``key, low, high``, the smallest and largest row that has the key, put together for each batch of
+    keys, so that a key which a large part of all sets has sends one row a batch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(threshold), set()
+        keys: list[np.ndarray] = []
+        rows: list[np.ndarray] = []
+        held = 0
+
+        def close() -> pa.RecordBatch:
+            nonlocal keys, rows, held
+            key, row = np.concatenate(keys).astype(np.int64), np.concatenate(rows)
+            keys, rows, held = [], [], 0
+            if not combined:
+                return pa.RecordBatch.from_arrays([pa.array(key), pa.array(row)], ["key", "row"])
+            order = np.lexsort((row, key))
+            key, row = key[order], row[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            return pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(row[first]), pa.array(row[np.append(first[1:], len(key)) - 1])], ["key", "low", "high"])
+
         for batch in batches:
-            keys: list[np.ndarray] = []
-            docs: list[np.ndarray] = []
-            held = 0
-            for doc, cls, data in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            for row, cls, data in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 if cls in seen:
                     continue
                 if len(seen) < CLASSES_SEEN:
                     seen.add(cls)
                 for k in bands.keys(_from_bytes(data)):
                     keys.append(k)
-                    docs.append(np.full(len(k), doc, np.int64))
+                    rows.append(np.full(len(k), row, np.int64))
                     held += len(k)
-                if held >= BATCH_SHINGLES:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(docs))], ["key", "id"])
-                    keys, docs, held = [], [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(docs))], ["key", "id"])
+                if held >= BATCH_KEYS:
+                    yield close()
+        if held:
+            yield close()
+
+    return live.select("row", "class", "shingles").mapInArrow(run, "key long, low long, high long" if combined else "key long, row long")
+
+
+def _sketches(sets: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """``name, n, w0, w1, ...``: size and folded sketch, in half words, of the rows in ``ids``."""
+    words = (F.conv(F.hex(F.substring("folded", 4 * k + 1, 4)), 16, 10).cast("long").alias(f"w{k}") for k in range(2 * FOLDED_WORDS))
+    return bitmap_filter(sets.select("row", "n", "folded"), "row", ids).select(F.col("row").alias(name), "n", *words)
+
+
+def _may_be_similar(x: str, y: str, threshold: Fraction) -> Column:
+    """The Hamming distance of two folded sketches is within what the sizes allow."""
+    differ = (1 - threshold) / (1 + threshold)
+    distance = reduce(lambda a, b: a + b, (F.bit_count(F.col(f"{x}.w{k}").bitwiseXOR(F.col(f"{y}.w{k}"))) for k in range(2 * FOLDED_WORDS)))
+    return distance * differ.denominator <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * differ.numerator
 
-    return shingles.where("n > 0 and doc is not null").select("id", "class", "shingles").mapInArrow(run, "key long, id long")
 
+def verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs ``a, b`` of rows whose sets have the Jaccard similarity.
 
-def verified(pairs: DataFrame, shingles: DataFrame, threshold: Fraction) -> DataFrame:
-    """The pairs ``a, b`` whose sets have the Jaccard similarity."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = bitmap_filter(shingles.where("n > 0"), "id", ids).select("id", "shingles")
-    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    A set that many pairs have as their first goes once to each block of about ``STAR_BLOCK`` of them.
+    """
+    uses = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR_BLOCK).alias("blocks"))
+    cut = pairs.join(uses, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"))
+    few = sets.select("row", "shingles")
+    heads = cut.select("a", "block").distinct().join(bitmap_filter(few, "row", pairs.select("a").distinct()).toDF("a", "set_a"), "a")
+    members = cut.join(bitmap_filter(few, "row", pairs.select("b").distinct()).toDF("b", "set_b"), "b")
+    both = members.join(heads, ["a", "block"])
     p, q = threshold.numerator, threshold.denominator
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,8 +316,6 @@ def links_between_classes(component: DataFrame, weight: DataFrame, live: DataFra
     p, q = threshold.numerator, threshold.denominator
 
     def count(table: pa.Table) -> pa.Table:
-        _, first = np.unique(table.column("id").to_numpy(), return_index=True)  # repeated rows
-        table = table.take(pa.array(first))
         ids, weights, side = (table.column(k).to_numpy() for k in ("id", "weight", "side"))
         data = [_from_bytes(x) for x in table.column("shingles").to_pylist()]
         n = np.array([len(s) for s in data])
@@ -322,82 +348,64 @@ def jaccard_components(df: DataFrame, threshold: Fraction = Fraction(4, 5), size
         return _components(df, threshold, size, key, text, count_links)
 
 
-def _nodes(live: DataFrame) -> DataFrame:
-    """``class, node``: the smallest document of a class, or a number above all where that one stands for another class."""
-    classes = materialize(live.groupBy("class").agg(F.min("doc").alias("node")), "classes")
-    several = classes.groupBy("node").agg(F.min("class").alias("first"), F.max("class").alias("last")).where("first < last")
-    clash = materialize(classes.join(several, "node").where("class > first").select("class"), "clashes")
-    if clash.isEmpty():
-        return classes
-    top = live.agg(F.max("doc")).first()[0]
-    number = clash.select("class", (F.lit(top).cast("long") + F.row_number().over(Window.orderBy("class"))).alias("number"))
-    return materialize(classes.join(number, "class", "left").select("class", F.coalesce("number", "node").alias("node")), "nodes")
+def _same_document(member: DataFrame) -> DataFrame:
+    """``a, b``: the classes of a document's texts hang on the smallest of them."""
+    several = member.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last").select("doc", "a")
+    return member.join(several, "doc").where("rep > a").select("a", F.col("rep").alias("b")).distinct()
 
 
 def _components(df: DataFrame, threshold: Fraction, size: int, key: str, text: str, count_links: bool) -> DataFrame:
-    shingles = materialize(shingle_table(df, size, key, text), "shingles")
-    live = shingles.where("n > 0 and doc is not null")
-    nodes = _nodes(live)
-    member = materialize(live.select("doc", "class").join(nodes, "class").select("doc", "node"), "members")
-    several = materialize(member.groupBy("doc").agg(F.collect_set("node").alias("nodes")).where(F.size("nodes") > 1), "several")
-    same = several.select(F.array_min("nodes").alias("a"), F.explode("nodes").alias("b")).where("a < b")
-    # The id of a row is its document, or the node of its class where the document has several.
-    repeated = not several.isEmpty()
-    if repeated:
-        one_of = several.select("doc", F.array_min("nodes").alias("any"))
-        shingles = shingles.join(nodes, "class", "left").join(one_of, "doc", "left").withColumn("id", F.when(F.col("any").isNull(), F.col("doc")).otherwise(F.coalesce("node", "any"))).drop("node", "any")
-        shingles = materialize(shingles, "named-shingles")
-        single = member.join(several, "doc", "left_anti")
-        own = several.select(F.explode("nodes").alias("node"))
-        one = single.union(own.select(F.col("node").alias("doc"), "node")).distinct().withColumnRenamed("doc", "id")
-    else:
-        shingles = shingles.withColumn("id", F.col("doc"))
-        one = member.distinct().withColumnRenamed("doc", "id")
-    live = shingles.where("n > 0 and doc is not null")
-
-    keys = segment_keys(shingles, threshold)
-    keys.createOrReplaceTempView("turnweave_segment_keys")
-    shared = df.sparkSession.sql("select key, id from (select key, id, min(id) over (partition by key) lo, max(id) over (partition by key) hi from turnweave_segment_keys) where lo < hi")
-    df.sparkSession.catalog.dropTempView("turnweave_segment_keys")
-    one = one.withColumnRenamed("node", "rep")
-    shared = materialize(shared, "shared-segments").join(one, "id").select("key", "rep").distinct()
-    centre = shared.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last").select("key", "centre")
-    buckets = materialize(shared.join(centre, "key"), "buckets")
-
-    stars = materialize(buckets.where("centre < rep").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), "star-pairs")
-    links = materialize(verified(stars, shingles, threshold).union(same), "star-links")
+    sets = materialize(shingle_table(df, size, key, text), "shingles")
+    live = sets.where("n > 0 and doc is not null")
+    # A class stands under its smallest row; classes are the nodes.
+    rep = live.groupBy("class").agg(F.min("row").alias("rep"))
+    member = materialize(live.select("row", "doc", "class").join(rep, "class").select("row", "doc", "rep"), "members")
+
+    shared = segment_keys(live, threshold, True).groupBy("key").agg(F.min("low").alias("centre"), F.max("high").alias("last")).where("centre < last")
+    shared = materialize(shared.select("key", "centre"), "shared-keys")
+    # The smallest row of a key is its class's smallest row: a task emits the first row of a class at least.
+    held = segment_keys(live, threshold, False).join(shared, "key").where("row > centre")
+    buckets = held.join(member.select("row", "rep"), "row").where("rep > centre").select("key", "rep", "centre").distinct()
+    buckets = materialize(buckets, "buckets")
+
+    stars = buckets.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    x, y = _sketches(live, stars.select("a"), "a").alias("x"), _sketches(live, stars.select("b"), "b").alias("y")
+    close = stars.alias("p").join(x, F.col("p.a") == F.col("x.a")).join(y, (F.col("p.b") == F.col("y.b")) & _may_be_similar("x", "y", threshold))
+    close = materialize(close.select("p.a", "p.b"), "star-pairs")
+    links = materialize(verified(close, live, threshold).union(_same_document(member)), "star-links")
     component = connected_components(links)
 
-    found = buckets.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "centre", F.coalesce("component", "rep").alias("component"))
-    mixed = found.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    open_ = found.join(mixed, "key").where("rep > centre")  # the smallest member has been compared with all
-    ids = open_.select(F.col("rep").alias("id")).distinct()
-    sketch = bitmap_filter(live, "id", ids).select(F.col("id").alias("rep"), F.col("n"), "folded").dropDuplicates(["rep"])
-    half = open_.join(sketch, "rep").select("key", "rep", "component", "n", *(F.conv(F.hex(F.substring("folded", 4 * k + 1, 4)), 16, 10).cast("long").alias(f"w{k}") for k in range(2 * FOLDED_WORDS)))
-    half = materialize(half, "open-segments")
+    # Members of a bucket that are left in different components are compared with each other.
+    found = buckets.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    mixed = found.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    open_ = found.join(mixed, "key")
+    half = materialize(open_.join(_sketches(live, open_.select("rep"), "rep"), "rep"), "open-segments")
     x, y = half.alias("x"), half.alias("y")
-    differ = (1 - threshold) / (1 + threshold)
-    distance = sum((F.bit_count(F.col(f"x.w{k}").bitwiseXOR(F.col(f"y.w{k}"))) for k in range(1, 2 * FOLDED_WORDS)), F.bit_count(F.col("x.w0").bitwiseXOR(F.col("y.w0"))))
-    close = (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & (distance * differ.denominator <= (F.col("x.n") + F.col("y.n")) * differ.numerator)
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & close).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    more = materialize(verified(materialize(pairs, "open-pairs"), shingles, threshold), "open-links")
-    links = links.union(more)
-    component = connected_components(links)
-
-    full = one.join(component.withColumnRenamed("node", "rep"), "rep", "left")
-    if count_links:
-        weight = member.distinct().groupBy("node").agg(F.count("*").alias("weight"))
-        count = weight.join(links_between_classes(component, weight, live, threshold), "node", "left")
-        count = count.select(F.col("node").alias("rep"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-        full = full.join(count, "rep", "left")
-    full = full.select("id", F.coalesce("component", "rep").alias("component"), *(["n_links"] if count_links else []))
-    out = shingles.select("doc", "id", "n").join(full, "id", "left")
-    if count_links and repeated:  # what a document's own other texts add
-        pairs = several.select("doc", F.explode("nodes").alias("a"), "nodes").select("doc", "a", F.explode("nodes").alias("b")).where("a != b")
-        like = verified(pairs.select("a", "b").distinct(), shingles, threshold).distinct()
-        less = pairs.join(like, ["a", "b"]).groupBy("doc", F.col("a").alias("id")).agg(F.count("*").alias("less"))
-        out = out.join(less, ["doc", "id"], "left").withColumn("n_links", F.col("n_links") - F.coalesce("less", F.lit(0)))
-    columns = [F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")]
-    if count_links:
-        columns.append(F.when(F.col("n") > 0, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long").alias("n_links"))
-    return out.select(*columns)
+    apart = (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & _may_be_similar("x", "y", threshold))
+    pairs = materialize(pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "open-pairs")
+    more = materialize(verified(pairs, live, threshold), "open-links")
+    component = connected_components(links.union(more)) if not more.isEmpty() else component
+
+    node = F.coalesce("component", "rep").alias("node")
+    placed = member.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("row", "doc", "rep", node)
+    least = placed.groupBy("node").agg(F.min("doc").alias("component_id"))
+    named = placed.join(least, "node").select("row", "component_id")
+    out = sets.select("row", "doc", "n").join(named, "row", "left")
+    columns = [F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id")]
+    if not count_links:
+        return out.select(*columns)
+
+    weight = member.select("rep", "doc").distinct().groupBy("rep").agg(F.count("*").alias("weight")).withColumnRenamed("rep", "node")
+    count = weight.join(links_between_classes(component, weight, live.withColumnRenamed("row", "id"), threshold), "node", "left")
+    count = count.select(F.col("node").alias("rep"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    # What a document's own other texts add is taken off again.
+    own = member.select("doc", "rep").distinct()
+    several = own.groupBy("doc").agg(F.count("*").alias("texts")).where("texts > 1").select("doc")
+    own = own.join(several, "doc")
+    twins = materialize(own.withColumnRenamed("rep", "a").join(own.withColumnRenamed("rep", "b"), "doc").where("a < b"), "own-texts")
+    like = twins.join(verified(twins.select("a", "b").distinct(), live, threshold), ["a", "b"])
+    less = like.select("doc", F.explode(F.array("a", "b")).alias("rep")).groupBy("doc", "rep").agg(F.count("*").alias("less"))
+    linked = member.join(count, "rep").join(less, ["doc", "rep"], "left").select("row", (F.col("n_links") - F.coalesce("less", F.lit(0))).alias("n_links"))
+    columns.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.join(linked, "row", "left").select(*columns)
