@@ -149,7 +149,7 @@ def test_border_edges(graph):
 
 def test_missing_nodes_and_short_ways(graph):
     roads = [*TEE, way(3, [B, 77])]
-    with pytest.raises(ValueError, match="no node found for used node 77"):
+    with pytest.raises(ValueError, match="refers to node 77"):
         graph(roads)
     assert len(turns(graph(roads, on_missing="drop"))) == 6
     g = graph([way(1, []), way(2, [A]), way(3, [A, B])])
@@ -204,6 +204,21 @@ def test_csv(graph, tmp_path):
     g.save(str(tmp_path / "store"))
 
 
+def test_one_csv_file_and_a_saved_graph(spark, graph, tmp_path):
+    from turnweave.plans.pipeline import RoadGraph
+
+    g = graph([*TEE, way(3, [D, E])], [rule("only_left_turn", 1, B, 2), rule("no_right_turn", 2, B, 1)])
+    g.write_csv(str(tmp_path / "turns.csv"), single=True)
+    with open(tmp_path / "turns.csv") as f:
+        rows = list(csv.DictReader(f))
+    assert len(rows) == g.turns.count() > 0 and "weight" in rows[0] and not glob.glob(f"{tmp_path}/*.parts")
+    g.save(str(tmp_path / "store"))
+    again = RoadGraph.load(spark, str(tmp_path / "store"))
+    assert turns(again) == turns(g) and again.restrictions.count() == 2
+    assert again.edges.where("src_pix = -1").count() == 0
+
+
+
 def model(roads, rules, places, pix):
     """The rules on plain lists."""
     used = {}

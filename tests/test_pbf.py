@@ -110,7 +110,7 @@ def test_partitions_and_folders(spark, file, tmp_path):
 def test_broken_files(spark, tmp_path):
     bad = tmp_path / "bad.pbf"
     bad.write_bytes(HEADER + blob("OSMData", block([]), "lzma"))
-    with pytest.raises(Exception, match="Unsupported compression format"):
+    with pytest.raises(Exception, match="neither stored nor zlib"):
         osmpbf.read(spark, str(bad), "nodes").collect()
     bad.write_bytes(HEADER + blob("OSMData", block([dense([(1, 1, 1)])]))[:-3])
     with pytest.raises(Exception, match="ends inside"):
@@ -143,3 +143,19 @@ def test_a_graph_from_a_file(spark, tmp_path):
     path.write_bytes(HEADER + blob("OSMData", block([dense([(k, round(a * 1e7), round(b * 1e7)) for k, (a, b) in at.items()])])) + blob("OSMData", block([group], s)))
     graph = build_from_pbf(spark, str(path))
     assert graph.edges.count() == 6 and graph.turns.count() == 6
+
+
+def test_ways_of_a_tag_only(spark, file):
+    roads = osmpbf.read(spark, file, "ways", tag="highway", values="primary,road").collect()
+    assert [(r.way_id, r.refs) for r in roads] == [(7, [5, 3, 9])]
+    assert osmpbf.read(spark, file, "ways", tag="highway", values="footway").count() == 0  # the first of equal keys counts
+
+
+def test_equal_ids_in_two_files(spark, tmp_path):
+    from turnweave.operators.ways import used_nodes
+
+    for name, lat in (("a", 100_000_000), ("b", 300_000_000)):
+        (tmp_path / f"{name}.osm.pbf").write_bytes(HEADER + blob("OSMData", block([dense([(5, lat, 0)])])))
+    nodes = osmpbf.read(spark, str(tmp_path), "nodes")
+    (r,) = used_nodes(nodes, spark.createDataFrame([(5, 1)], "node_id long, used long")).collect()
+    assert r.lat == 10.0 and sorted(x.file for x in nodes.collect()) == [0, 1]

@@ -94,32 +94,32 @@ def point_between(p: Column, q: Column, fraction: Column) -> Column:
     return F.struct(mix(p["lat"], q["lat"]).alias("lat"), mix(p["lon"], q["lon"]).alias("lon"))
 
 
+def _running(values: Column) -> Column:
+    """Running sums, first to last."""
+    return F.aggregate(values, F.array().cast("array<double>"), lambda a, x: F.concat(a, F.array(x + F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0.0)))))
+
+
 def midpoint(line: Column) -> Column:
     """Struct ``idx, lat, lon``: the point at half the planar length and the index of the segment it lies on.
 
-    A line without length has its first point, with index 0.
+    That is the first segment at whose end the running length reaches the half. A line without length has its first
+    point, with index 0.
     """
+    spot = lambda i, p: F.struct(i.cast("int").alias("idx"), p["lat"].alias("lat"), p["lon"].alias("lon"))
+    first = F.get(line, F.lit(0))
 
-    def found(steps: Column) -> Column:
-        def at(half: Column) -> Column:
-            start = F.struct(F.lit(0).alias("i"), F.lit(0.0).alias("cl"), F.lit(-1).alias("idx"), F.lit(0.0).alias("ol"), F.lit(0.0).alias("d"))
-
-            def step(s: Column, d: Column) -> Column:
-                cl = s["cl"] + d
-                hit = (half <= cl) & (half > s["cl"])
-                return F.struct((s["i"] + 1).alias("i"), cl.alias("cl"), F.when(hit, s["i"]).otherwise(s["idx"]).alias("idx"), F.when(hit, s["cl"]).otherwise(s["ol"]).alias("ol"), F.when(hit, d).otherwise(s["d"]).alias("d"))
-
-            def point(s: Column) -> Column:
-                p = lambda k: F.get(line, k)
-                m = point_between(p(s["idx"]), p(s["idx"] + 1), (half - s["ol"]) / s["d"])
-                first = F.struct(F.lit(0).alias("idx"), p(F.lit(0))["lat"].alias("lat"), p(F.lit(0))["lon"].alias("lon"))
-                return F.when(s["idx"] >= 0, let(m, lambda m: F.struct(s["idx"].alias("idx"), m["lat"].alias("lat"), m["lon"].alias("lon")))).otherwise(first)
+    def halved(s: Column) -> Column:
+        reached, half = s["reached"], F.element_at(s["reached"], -1) / 2
 
-            return let(F.aggregate(steps, start, step), point)
+        def at(k: Column) -> Column:
+            before = F.coalesce(F.get(reached, k - 1), F.lit(0.0))
+            share = (half - before) / F.get(s["steps"], k)
+            return let(point_between(F.get(line, k), F.get(line, k + 1), share), lambda p: spot(k, p))
 
-        return let(_sum(steps) / 2, at)
+        number = F.array_position(F.transform(reached, lambda x: x >= half), True).cast("int") - 1
+        return F.when(F.coalesce(half, F.lit(0.0)) > 0, let(number, at)).otherwise(spot(F.lit(0), first))
 
-    return let(_steps(line, planar_distance), found)
+    return let(_steps(line, planar_distance), lambda d: let(F.struct(d.alias("steps"), _running(d).alias("reached")), halved))
 
 
 def second_half(line: Column, middle: Column) -> Column:
@@ -139,6 +139,6 @@ def fixed6(values: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(StringType())
-def linestring(lons: pd.Series, lats: pd.Series) -> pd.Series:
-    """``LINESTRING(lon lat;lon lat)`` with six decimals, from two arrays."""
-    return pd.Series(["LINESTRING(" + ";".join("%.6f %.6f" % p for p in zip(x, y, strict=True)) + ")" for x, y in zip(lons, lats, strict=True)], dtype=object)
+def point_texts(lons: pd.Series, lats: pd.Series) -> pd.Series:
+    """``lon lat;lon lat`` with six decimals, from two arrays."""
+    return pd.Series([";".join("%.6f %.6f" % p for p in zip(x, y, strict=True)) for x, y in zip(lons, lats, strict=True)], dtype=object)

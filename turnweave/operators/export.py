@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import first_half, fixed6, linestring, midpoint, second_half
+from ..functions.geo import first_half, fixed6, midpoint, point_texts, second_half
 from .edges import KEY
-from .turns import TURN
+from .turns import turns
 
 #: Columns of the CSV file. Fixed values.
 CSV_COLUMNS = (
@@ -21,25 +21,26 @@ def edge_midpoints(edges: DataFrame) -> DataFrame:
     return edges.select(*KEY, midpoint(F.col("geom")).alias("m")).select(*KEY, "m.idx", "m.lat", "m.lon")
 
 
-def edge_halves(edges: DataFrame) -> DataFrame:
-    """``way_id, seg, rev, head, tail``: start to midpoint, midpoint to end. Once an edge, not once a turn."""
-    out = edges.select(*KEY, "geom", midpoint(F.col("geom")).alias("m"))
-    return out.select(*KEY, first_half(F.col("geom"), F.col("m")).alias("head"), second_half(F.col("geom"), F.col("m")).alias("tail"))
-
-
-def turn_geometry(turns: DataFrame, edges: DataFrame) -> DataFrame:
+def turn_geometry(edges: DataFrame, mandatory: DataFrame, forbidden: DataFrame) -> DataFrame:
     """Turns with ``geom``: the second half of one edge, then the first half of the next (their node comes twice)."""
-    halves = edge_halves(edges)
-    tails = halves.select(*(F.col(a).alias(b) for a, b in zip(KEY, TURN[:3], strict=True)), "tail")
-    heads = halves.select(*(F.col(a).alias(b) for a, b in zip(KEY, TURN[3:], strict=True)), "head")
-    out = turns.join(tails, list(TURN[:3])).join(heads, list(TURN[3:]))
+    out = turns(_with_halves(edges), mandatory, forbidden, ("tail",), ("head",))
     return out.withColumn("geom", F.concat("tail", "head")).drop("tail", "head")
 
 
-def csv_rows(turns: DataFrame, edges: DataFrame) -> DataFrame:
-    """The nine columns of the CSV file, numbers written with six decimals."""
-    out = turn_geometry(turns, edges)
-    line = linestring(F.col("geom.lon"), F.col("geom.lat"))
+def _with_halves(edges: DataFrame) -> DataFrame:
+    m = F.col("__middle")
+    return edges.withColumn("__middle", midpoint(F.col("geom"))).withColumns({"head": first_half(F.col("geom"), m), "tail": second_half(F.col("geom"), m)}).drop("__middle")
+
+
+def csv_rows(edges: DataFrame, mandatory: DataFrame, forbidden: DataFrame) -> DataFrame:
+    """The nine columns of the CSV file, numbers written with six decimals.
+
+    Each half of an edge is written as text once; the turns carry the texts and only put them together.
+    """
+    text = lambda c: point_texts(F.col(f"{c}.lon"), F.col(f"{c}.lat"))
+    written = _with_halves(edges).withColumns({"head": text("head"), "tail": text("tail")})
+    out = turns(written, mandatory, forbidden, ("tail",), ("head",))
+    line = F.concat(F.lit("LINESTRING("), "tail", F.lit(";"), "head", F.lit(")"))
     return out.select(
         fixed6(F.col("weight")).alias("weight"), line.alias("geom"), F.when(F.col("was_one_way"), "true").otherwise("false").alias("was_one_way"),
         F.col("from_way").alias("osm_way_from"), F.col("to_way").alias("osm_way_to"), F.col("from_source").alias("osm_way_from_source_node"),
@@ -47,6 +48,28 @@ def csv_rows(turns: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def write_csv(turns: DataFrame, edges: DataFrame, path: str) -> None:
-    """A folder of CSV files with a header each; a network without turns gives the header alone."""
-    csv_rows(turns, edges).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(rows: DataFrame, path: str, single: bool = False) -> None:
+    """A folder of CSV files with a header each; a network without turns gives the header alone.
+
+    ``single``: one file at ``path`` with one header, put together by the driver's file system from parts that the
+    tasks wrote, so no task or driver holds the rows.
+    """
+    if not single:
+        rows.write.mode("overwrite").option("header", True).csv(path)
+        return
+    parts = f"{path}.parts"
+    rows.write.mode("overwrite").option("header", False).csv(parts)
+    jvm, conf = rows.sparkSession.sparkContext._jvm, rows.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    folder, target = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    out = fs.create(target, True)
+    try:
+        out.write((",".join(rows.columns) + "\n").encode())
+        for status in sorted(fs.listStatus(folder), key=lambda x: x.getPath().getName()):
+            if status.getPath().getName().startswith("part-"):
+                part = fs.open(status.getPath())
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+                part.close()
+    finally:
+        out.close()
+    fs.delete(folder, True)

@@ -1,8 +1,9 @@
 """Turns: edges joined with their legal successors.
 
-One equi-join of the edges with themselves on the node between them. Only what the rules need goes through it
-(keys, end points, cost); geometry is attached afterwards. Edges that a mandatory restriction binds are a small
-part, so the window that picks their first candidate sorts only those.
+One equi-join of the edges with themselves on the node between them, for free and for bound edges alike: what a
+mandatory restriction demands hangs on the first edge, and whether an edge is the first of its way at its node (the
+one candidate that such a restriction tries) hangs on the second, by a window that needs no shuffle of its own. Only
+what the rules need goes through the join (keys, end points, cost) and what a caller wants to carry along.
 """
 
 from __future__ import annotations
@@ -18,14 +19,17 @@ _FROM = {"way_id": "from_way", "seg": "from_seg", "rev": "from_rev", "src_node":
 _TO = {"way_id": "to_way", "seg": "to_seg", "rev": "to_rev", "src_node": "via", "tgt_node": "to_target", "is_border": "to_border", "tgt": "to_tgt", "cost": "to_cost"}
 
 
-def _renamed(edges: DataFrame, names: dict[str, str]) -> DataFrame:
-    return edges.select(*(F.col(a).alias(b) for a, b in names.items()))
+def _renamed(edges: DataFrame, names: dict[str, str], carried: tuple[str, ...] = ()) -> DataFrame:
+    return edges.select(*(F.col(a).alias(b) for a, b in names.items()), *carried)
 
 
-def adjacency(edges: DataFrame, bound: DataFrame | None = None) -> DataFrame:
-    """All pairs of edges that meet (``bound``: instead of all the first edges), with ``scope`` of the second."""
-    first = _renamed(edges, _FROM) if bound is None else bound
-    return first.join(_renamed(edges, _TO), "via").withColumn("scope", F.when(F.col("to_border"), "border").otherwise("intra"))
+def adjacency(edges: DataFrame) -> DataFrame:
+    """All pairs of edges that meet, with ``scope`` of the second."""
+    return _renamed(edges, _FROM).join(_renamed(edges, _TO), "via").withColumn("scope", _scope())
+
+
+def _scope() -> Column:
+    return F.when(F.col("to_border"), "border").otherwise("intra")
 
 
 def is_u_turn() -> Column:
@@ -41,40 +45,37 @@ def without_forbidden(pairs: DataFrame, forbidden: DataFrame) -> DataFrame:
     return pairs.join(forbidden, ["from_way", "to_way"], "left_anti")
 
 
-def bound_edges(edges: DataFrame, mandatory: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """First edges without and with a mandatory restriction at their end (``must`` is the way; null in conflict)."""
-    first = _renamed(edges, _FROM)
-    rule = mandatory.select("from_way", F.col("via_node").alias("via"), F.when(F.col("n_to") == 1, F.col("to_way")).alias("must"), F.lit(True).alias("bound"))
-    free = first.join(rule, ["from_way", "via"], "left_anti")
-    return free, first.join(rule, ["from_way", "via"]).drop("bound")
+def ruled_pairs(edges: DataFrame, mandatory: DataFrame, tails: tuple[str, ...] = (), heads: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of edges that meet and that the mandatory restrictions leave; ``bound`` says whether one applied.
 
+    A bound edge goes on to the first edge of the demanded way, one among inner and one among border edges. In
+    conflict it is a dead end, and so it is where the demanded way doesn't start at the node. ``tails`` and ``heads``
+    are further columns of the first and of the second edge.
+    """
+    rule = mandatory.select("from_way", F.col("via_node").alias("via"), F.when(F.col("n_to") == 1, F.col("to_way")).alias("must"), F.lit(True).alias("bound"))
+    first = _renamed(edges, _FROM, tails).join(rule, ["from_way", "via"], "left").withColumn("bound", F.coalesce("bound", F.lit(False)))
+    nth = F.row_number().over(Window.partitionBy("via", "to_way", "to_border").orderBy("to_seg", "to_rev"))
+    second = _renamed(edges, _TO, heads).repartition("via").withColumn("nth", nth)
+    demanded = F.coalesce((F.col("to_way") == F.col("must")) & (F.col("nth") == 1), F.lit(False))
+    return first.join(second, "via").where(~F.col("bound") | demanded).drop("must", "nth")
 
-def free_turns(edges: DataFrame, mandatory: DataFrame, forbidden: DataFrame) -> DataFrame:
-    """Turns out of edges that no mandatory restriction binds."""
-    free, _ = bound_edges(edges, mandatory)
-    return without_forbidden(without_u_turns(adjacency(edges, free)), forbidden)
 
+def legal_pairs(edges: DataFrame, mandatory: DataFrame, forbidden: DataFrame, tails: tuple[str, ...] = (), heads: tuple[str, ...] = ()) -> DataFrame:
+    """The ruled pairs that are no U-turn and not forbidden; a second candidate of a mandatory turn is never tried."""
+    return without_forbidden(without_u_turns(ruled_pairs(edges, mandatory, tails, heads)), forbidden)
 
-def mandatory_candidates(edges: DataFrame, mandatory: DataFrame) -> DataFrame:
-    """Of each bound edge the first edge of the demanded way, one among inner and one among border edges.
 
-    Conflicting restrictions leave a dead end, and so does a demanded way that doesn't start at the node.
-    """
-    _, bound = bound_edges(edges, mandatory)
-    pairs = adjacency(edges, bound.where("must is not null")).where("to_way = must").drop("must")
-    first = Window.partitionBy("from_way", "from_seg", "from_rev", "to_border").orderBy("to_seg", "to_rev")
-    return pairs.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth")
+def free_turns(edges: DataFrame, mandatory: DataFrame, forbidden: DataFrame) -> DataFrame:
+    """Turns out of edges that no mandatory restriction binds."""
+    return legal_pairs(edges, mandatory, forbidden).where("not bound")
 
 
 def mandatory_turns(edges: DataFrame, mandatory: DataFrame, forbidden: DataFrame) -> DataFrame:
-    """The candidates that are no U-turn and not forbidden; a second candidate is never tried."""
-    return without_forbidden(without_u_turns(mandatory_candidates(edges, mandatory)), forbidden)
+    """Turns that a mandatory restriction demands."""
+    return legal_pairs(edges, mandatory, forbidden).where("bound")
 
 
-def turns(edges: DataFrame, mandatory: DataFrame, forbidden: DataFrame) -> DataFrame:
+def turns(edges: DataFrame, mandatory: DataFrame, forbidden: DataFrame, tails: tuple[str, ...] = (), heads: tuple[str, ...] = ()) -> DataFrame:
     """All legal turns, with ``weight`` (half of both costs) and the nodes around them."""
-    every = free_turns(edges, mandatory, forbidden).unionByName(mandatory_turns(edges, mandatory, forbidden))
-    return every.select(*TURN, "was_one_way", "from_source", "via", "to_target", ((F.col("from_cost") + F.col("to_cost")) / 2).alias("weight"))
-
-
-__all__ = ["KEY", "TURN", "adjacency", "bound_edges", "free_turns", "is_u_turn", "mandatory_candidates", "mandatory_turns", "turns", "without_forbidden", "without_u_turns"]
+    weight = ((F.col("from_cost") + F.col("to_cost")) / 2).alias("weight")
+    return legal_pairs(edges, mandatory, forbidden, tails, heads).select(*TURN, "was_one_way", "from_source", "via", "to_target", weight, *tails, *heads)

@@ -39,8 +39,10 @@ def node_usage(refs: DataFrame) -> DataFrame:
 
 def used_nodes(nodes: DataFrame, usage: DataFrame, n_side: int = N_SIDE) -> DataFrame:
     """``node_id, lat, lon, used, ipix``; of nodes that share an id one is taken, the same in every run."""
-    one = nodes.groupBy("node_id").agg(F.min_by(F.struct("lat", "lon"), F.struct("lat", "lon")).alias("p")) if "seq" not in nodes.columns else nodes.groupBy("node_id").agg(F.min_by(F.struct("lat", "lon"), "seq").alias("p"))
-    out = one.join(usage, "node_id").select("node_id", "p.lat", "p.lon", "used")
+    place = F.struct(*([c for c in ("file", "seq") if c in nodes.columns] or ["lat", "lon"]))
+    wanted = nodes.join(usage, "node_id")  # unused nodes go before the rest is aggregated, on the same key
+    one = wanted.groupBy("node_id").agg(F.min_by(F.struct("lat", "lon"), place).alias("p"), F.first("used").alias("used"))
+    out = one.select("node_id", "p.lat", "p.lon", "used")
     return out.withColumn("ipix", healpix_ring(F.col("lat"), F.col("lon"), n_side))
 
 
@@ -58,7 +60,7 @@ def checked_roads(roads: DataFrame, nodes: DataFrame, strict: bool = True) -> Da
     refs = way_refs(roads)
     missing = refs.join(nodes.select("node_id").distinct(), "node_id", "left_anti")
     if strict:
-        if not missing.isEmpty():
-            raise ValueError(f"no node found for used node {missing.first()['node_id']}")
+        if (row := missing.select("way_id", "node_id").first()) is not None:
+            raise ValueError(f"way {row['way_id']} refers to node {row['node_id']}, which the input lacks")
         return roads
     return roads.join(missing.select("way_id").distinct(), "way_id", "left_anti")

@@ -23,7 +23,8 @@ def _graph(spark: SparkSession, d: str) -> RoadGraph:
 
 
 def _edges(spark: SparkSession, d: str) -> DataFrame:
-    return _graph(spark, d).edges
+    """A single use: not stored."""
+    return edge_ops.directed_edges(_segments(spark, d))
 
 
 def _roads(spark: SparkSession, d: str) -> DataFrame:
@@ -179,7 +180,7 @@ def line_length(spark, d):
 
 def turn_geometry(spark, d):
     g = _graph(spark, d)
-    out = export.turn_geometry(g.turns, g.edges)
+    out = export.turn_geometry(g.edges, g.mandatory, g.forbidden)
     end = lambda i, c: F.round(F.get("geom", i)[c], 6)
     last = F.size("geom") - 1
     return out.select(*TURN, F.size("geom").alias("n_points"), end(F.lit(0), "lat").alias("first_lat"), end(F.lit(0), "lon").alias("first_lon"), end(last, "lat").alias("last_lat"), end(last, "lon").alias("last_lon"))

@@ -1,9 +1,11 @@
 """OpenStreetMap PBF as a Spark data source: ``spark.read.format("osmpbf").option("entity", ...).load(path)``.
 
-``entity`` is ``nodes`` (node_id, lat, lon, seq), ``ways`` (way_id, refs, tags) or ``relations`` (rel_id, tags,
+``entity`` is ``nodes`` (node_id, lat, lon, file, seq), ``ways`` (way_id, refs, tags) or ``relations`` (rel_id, tags,
 members). Planning reads only the frame headers and skips over the bodies, so other blobs cost no more than a
 seek; each data blob is a partition of its own, bundled up to ``split_bytes``. A reader decodes the wanted
-entity alone. ``seq`` is the place of a node in the file, by which a repeated id is settled.
+entity alone, strings only where tags are wanted. ``file`` and ``seq`` are the number of a node's file and its place
+there, by which a repeated id is settled. ``tag`` and ``values`` (comma-separated) keep the ways that have the tag with
+one of the values; the others' references are not decoded.
 
 Paths are local or any URI that pyarrow's file systems open; a folder stands for its ``.pbf`` files.
 """
@@ -13,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMAS = {
-    "nodes": "node_id long, lat double, lon double, seq long",
+    "nodes": "node_id long, lat double, lon double, file int, seq long",
     "ways": "way_id long, refs array<long>, tags map<string,string>",
     "relations": "rel_id long, tags map<string,string>, members array<struct<id:long,role:string,type:string>>",
 }
 MEMBER_TYPES = ("NODE", "WAY", "RELATION")
-_NODE_TYPE = pa.schema([("node_id", pa.int64()), ("lat", pa.float64()), ("lon", pa.float64()), ("seq", pa.int64())])
+_NODE_TYPE = pa.schema([("node_id", pa.int64()), ("lat", pa.float64()), ("lon", pa.float64()), ("file", pa.int32()), ("seq", pa.int64())])
 _TAGS = pa.map_(pa.string(), pa.string())
 _WAY_TYPE = pa.schema([("way_id", pa.int64()), ("refs", pa.list_(pa.int64())), ("tags", _TAGS)])
 _RELATION_TYPE = pa.schema([("rel_id", pa.int64()), ("tags", _TAGS), ("members", pa.list_(pa.struct([("id", pa.int64()), ("role", pa.string()), ("type", pa.string())])))])
@@ -116,19 +119,19 @@ def inflate(blob: bytes) -> bytes:
             return zlib.decompress(value)
         if number in (4, 5, 6, 7):
             break
-    raise ValueError("Unsupported compression format")
+    raise ValueError("a blob is neither stored nor zlib-compressed")
 
 
 class Block:
     """A PrimitiveBlock."""
 
     def __init__(self, data: bytes):
-        self.strings: list[str] = []
+        self.raw_strings: memoryview | None = None
         self.groups: list[memoryview] = []
         self.granularity, self.lat_offset, self.lon_offset = 100, 0, 0
         for number, value in fields(data):
             if number == 1:
-                self.strings = [bytes(s).decode("utf-8", "replace") for k, s in fields(value) if k == 1]
+                self.raw_strings = value
             elif number == 2:
                 self.groups.append(value)
             elif number == 17:
@@ -138,13 +141,18 @@ class Block:
             elif number == 20:
                 self.lon_offset = _signed(value)
 
+    @cached_property
+    def strings(self) -> list[str]:
+        """Decoded when first asked for: nodes need none."""
+        return [bytes(s).decode("utf-8", "replace") for k, s in fields(self.raw_strings or b"") if k == 1]
+
     def _tags(self, keys: memoryview, values: memoryview) -> list[tuple[str, str]]:
         out: dict[str, str] = {}
         for k, v in zip(packed(keys).tolist(), packed(values).tolist(), strict=True):
             out.setdefault(self.strings[k], self.strings[v])  # the first of equal keys counts
         return list(out.items())
 
-    def nodes(self, seq: int) -> Iterator[pa.RecordBatch]:
+    def nodes(self, file: int, seq: int) -> Iterator[pa.RecordBatch]:
         plain: list[tuple[int, int, int]] = []
         parts = []
         for group in self.groups:
@@ -162,19 +170,25 @@ class Block:
             parts.append(tuple(np.array(x, np.int64) for x in zip(*plain, strict=True)))
         for ids, lats, lons in parts:
             lat, lon = ((o + self.granularity * x).astype(np.float64) / 1e9 for o, x in ((self.lat_offset, lats), (self.lon_offset, lons)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(lat), pa.array(lon), pa.array(np.arange(seq, seq + len(ids)))], schema=_NODE_TYPE)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(lat), pa.array(lon), pa.array(np.full(len(ids), file, np.int32)), pa.array(np.arange(seq, seq + len(ids)))], schema=_NODE_TYPE)
             seq += len(ids)
 
-    def ways(self) -> Iterator[pa.RecordBatch]:
+    def ways(self, tag: str | None = None, values: frozenset[str] = frozenset()) -> Iterator[pa.RecordBatch]:
+        """With ``tag`` only the ways that have it with one of the values; the others' references stay undecoded."""
         ids, refs, tags = [], [], []
+        if tag is not None and (tag not in self.strings or values.isdisjoint(self.strings)):
+            return
         empty = memoryview(b"")
         for group in self.groups:
             for number, value in fields(group):
                 if number == 3:
                     f = dict(fields(value))
+                    own = self._tags(f.get(2, empty), f.get(3, empty))
+                    if tag is not None and dict(own).get(tag) not in values:
+                        continue
                     ids.append(_signed(f.get(1, 0)))
                     refs.append(_deltas(f.get(8, empty)))
-                    tags.append(self._tags(f.get(2, empty), f.get(3, empty)))
+                    tags.append(own)
         if ids:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(refs, pa.list_(pa.int64())), pa.array(tags, _TAGS)], schema=_WAY_TYPE)
 
@@ -224,29 +238,30 @@ def frames(file, size: int) -> Iterator[tuple[str, int, int]]:
 @dataclass
 class BlobPartition(InputPartition):
     path: str
+    number: int
     blobs: list[tuple[int, int]]
 
 
 class OsmPbfReader(DataSourceReader):
-    def __init__(self, path: str, entity: str, split_bytes: int):
-        self.path, self.entity, self.split_bytes = path, entity, split_bytes
+    def __init__(self, path: str, entity: str, split_bytes: int, tag: str | None = None, values: frozenset[str] = frozenset()):
+        self.path, self.entity, self.split_bytes, self.tag, self.values = path, entity, split_bytes, tag, values
 
     def partitions(self) -> list[InputPartition]:
         system, names = _files(self.path)
         out: list[InputPartition] = []
-        for name in names:
+        for number, name in enumerate(names):
             with system.open_input_file(name) as f:
                 blobs: list[tuple[int, int]] = []
                 for kind, offset, size in frames(f, f.size()):
                     if kind != "OSMData":
                         continue
                     if blobs and sum(n for _, n in blobs) + size > self.split_bytes:
-                        out.append(BlobPartition(name, blobs))
+                        out.append(BlobPartition(name, number, blobs))
                         blobs = []
                     blobs.append((offset, size))
                 if blobs:
-                    out.append(BlobPartition(name, blobs))
-        return out or [BlobPartition("", [])]
+                    out.append(BlobPartition(name, number, blobs))
+        return out or [BlobPartition("", 0, [])]
 
     def read(self, partition: BlobPartition) -> Iterator[pa.RecordBatch]:
         if not partition.blobs:
@@ -256,7 +271,12 @@ class OsmPbfReader(DataSourceReader):
             for offset, size in partition.blobs:
                 f.seek(offset)
                 block = Block(inflate(f.read(size)))
-                yield from block.nodes(offset << _SEQ_SHIFT) if self.entity == "nodes" else getattr(block, self.entity)()
+                if self.entity == "nodes":
+                    yield from block.nodes(partition.number, offset << _SEQ_SHIFT)
+                elif self.entity == "ways":
+                    yield from block.ways(self.tag, self.values)
+                else:
+                    yield from block.relations()
 
 
 class OsmPbfSource(DataSource):
@@ -276,7 +296,7 @@ class OsmPbfSource(DataSource):
         return SCHEMAS[self._entity()]
 
     def reader(self, schema) -> OsmPbfReader:
-        return OsmPbfReader(self.options["path"], self._entity(), int(self.options.get("split_bytes", 1 << 24)))
+        return OsmPbfReader(self.options["path"], self._entity(), int(self.options.get("split_bytes", 1 << 24)), self.options.get("tag"), frozenset(filter(None, self.options.get("values", "").split(","))))
 
 
 def register(spark: SparkSession) -> None:
@@ -284,6 +304,6 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(OsmPbfSource)
 
 
-def read(spark: SparkSession, path: str, entity: str):
+def read(spark: SparkSession, path: str, entity: str, **options: str):
     register(spark)
-    return spark.read.format("osmpbf").option("entity", entity).load(path)
+    return spark.read.format("osmpbf").options(entity=entity, **options).load(path)
