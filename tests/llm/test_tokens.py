@@ -145,3 +145,30 @@ def test_token_files_with_repeated_keys(spark):
     docs = spark.createDataFrame([(1, "same"), (1, "same"), (0, "first")], "doc_id long, text string")
     got = sorted((r.doc_id, r.start) for r in token_file.token_archive(docs, P.path("byte_bpe_50k.json")).collect())
     assert got == [(0, 0), (1, 2), (1, 4)]
+
+
+def test_one_token_without_the_file(tmp_path):
+    """Of a file of 600 KB a token costs the header and some hundred bytes a level."""
+
+    ids = np.random.default_rng(1).integers(0, 1 << 17, 300_000).astype(np.uint32)
+    path = tmp_path / "a.dac"
+    path.write_bytes(b"".join(token_file.dump([1, 2], [100_000, 200_000], ids)))
+    assert path.stat().st_size > 500_000
+
+    class Counted:
+        def __init__(self, f):
+            self.f, self.n = f, 0
+
+        def seek(self, at):
+            self.f.seek(at)
+
+        def read(self, n):
+            self.n += n
+            return self.f.read(n)
+
+    with open(path, "rb") as f:
+        source = Counted(f)
+        file = token_file.TokenFile(source)
+        assert [file.token(i) for i in (0, 511, 512, 299_999)] == ids[[0, 511, 512, 299_999]].tolist()
+        assert source.n < 5_000
+        assert (file.document(1) == ids[100_000:]).all()

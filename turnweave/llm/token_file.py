@@ -14,10 +14,8 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,21 +23,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_dir, space_chunks, tasks
+from .common import materialize, shared_dir, tasks
+from .spans import PieceCache, encode_texts
 from .store import read_file, write_file
 
-#: Chunks that are encoded as one text.
+#: Texts that go to the library at a time.
 JOINED = 2000
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]*")
-_WHITE = re.compile(r"\s")
 
 MAGIC = b"TWDAC001"
 #: Bits of each level's chunks.
 CHUNK_BITS = (8, 4, 4, 8, 8)
-#: Tokens after which a writer begins another file; cached chunks of text; the longest that is cached.
-FILE_TOKENS = 1 << 22
-CACHE_SIZE = 900_000
-CACHED_CHARS = 64
+#: Tokens after which a writer begins another file; tokens that a reader decodes at a time.
+FILE_TOKENS, RUN_TOKENS = 1 << 22, 1 << 18
+#: Pre-tokens in a worker's cache; characters that are encoded together.
+CACHE_SIZE = 1_500_000
+BATCH_CHARS = 1 << 21
 
 
 def _pack(chunks: np.ndarray, bits: int) -> np.ndarray:
@@ -69,36 +67,64 @@ def encode_levels(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndar
 
 
 class TokenFile:
-    """Random access to the tokens of one file."""
+    """Random access to the tokens of one file, of which only the header and what is asked for is read.
 
-    def __init__(self, data: bytes):
-        if data[:8] != MAGIC:
+    ``source`` is the file's bytes or a seekable file.
+    """
+
+    def __init__(self, source):
+        self._source = memoryview(source) if isinstance(source, bytes | bytearray | memoryview) else source
+        start = bytes(self._read(0, 12))
+        if start[:8] != MAGIC:
             raise ValueError("not a token file")
-        n = int.from_bytes(data[8:12], "little")
-        head = json.loads(data[12 : 12 + n])
-        at = 12 + n
-        at += -at % 8
+        n = int.from_bytes(start[8:12], "little")
+        head = json.loads(bytes(self._read(12, n)))
         self.n_documents, self.n_tokens = head["documents"], head["tokens"]
+        at = 12 + n
+        self._place: dict[str | tuple[int, int], int] = {}
 
-        def take(kind, count: int) -> np.ndarray:
+        def section(name: str | tuple[int, int], size: int) -> None:
             nonlocal at
-            out = np.frombuffer(data, kind, count, at)
-            at += out.nbytes
             at += -at % 8
-            return out
-
-        self.keys = take(np.int64, self.n_documents)
-        self.null_keys = take(np.uint8, self.n_documents)
-        self.offsets = take(np.int64, self.n_documents + 1)
-        self.levels = [tuple(take(kind, m) for kind, m in zip((np.uint8, np.uint8, np.uint32), sizes, strict=True)) for sizes in head["levels"]]
+            self._place[name] = at
+            at += size
+
+        for name, size in (("keys", 8 * self.n_documents), ("null_keys", self.n_documents), ("offsets", 8 * self.n_documents + 8)):
+            section(name, size)
+        self.n_levels = len(head["levels"])
+        for level, sizes in enumerate(head["levels"]):
+            for k, (size, width) in enumerate(zip(sizes, (1, 1, 4), strict=True)):
+                section((level, k), size * width)
+
+    def _read(self, at: int, n: int):
+        if isinstance(self._source, memoryview):
+            return self._source[at : at + n]
+        self._source.seek(at)
+        return self._source.read(n)
+
+    def _part(self, name: str | tuple[int, int], kind, start: int, end: int) -> np.ndarray:
+        width = np.dtype(kind).itemsize
+        return np.frombuffer(self._read(self._place[name] + start * width, (end - start) * width), kind)
+
+    @property
+    def keys(self) -> np.ndarray:
+        return self._part("keys", np.int64, 0, self.n_documents)
+
+    @property
+    def null_keys(self) -> np.ndarray:
+        return self._part("null_keys", np.uint8, 0, self.n_documents)
+
+    @property
+    def offsets(self) -> np.ndarray:
+        """Where each document begins, and the end."""
+        return self._part("offsets", np.int64, 0, self.n_documents + 1)
 
     def _rank(self, level: int, i: int) -> int:
-        """Ones in the level's bitmap before bit i."""
-        _, bitmap, directory = self.levels[level]
+        """Ones in the level's bitmap before bit i: a directory entry and a part of one block."""
         block = i >> 9
-        rank = int(directory[block])
+        rank = int(self._part((level, 2), np.uint32, block, block + 1)[0])
         if i & 511:
-            word = int.from_bytes(bitmap[block << 6 : (block + 1) << 6].tobytes(), "little")
+            word = int.from_bytes(self._part((level, 1), np.uint8, block << 6, (block + 1) << 6).tobytes(), "little")
             rank += (word & (1 << (i & 511)) - 1).bit_count()
         return rank
 
@@ -106,14 +132,14 @@ class TokenFile:
         """Ids of the tokens from ``start`` to before ``end``."""
         out = np.zeros(end - start, np.uint32)
         where, shift = None, 0
-        for level, (chunks, bitmap, _) in enumerate(self.levels):
+        for level in range(self.n_levels):
             if start >= end:
                 break
             bits = CHUNK_BITS[level]
             if bits == 8:
-                part = chunks[start:end].astype(np.uint32)
+                part = self._part((level, 0), np.uint8, start, end).astype(np.uint32)
             else:
-                pair = chunks[start >> 1 : (end + 1) >> 1]
+                pair = self._part((level, 0), np.uint8, start >> 1, (end + 1) >> 1)
                 part = np.empty(2 * len(pair), np.uint32)
                 part[::2], part[1::2] = pair & 15, pair >> 4
                 part = part[start & 1 : (start & 1) + end - start]
@@ -122,7 +148,7 @@ class TokenFile:
             else:
                 out[where] |= part << np.uint32(shift)
             shift += bits
-            on = np.unpackbits(bitmap[start >> 3 : (end + 7) >> 3], bitorder="little")[start & 7 : (start & 7) + end - start].view(bool)
+            on = np.unpackbits(self._part((level, 1), np.uint8, start >> 3, (end + 7) >> 3), bitorder="little")[start & 7 : (start & 7) + end - start].view(bool)
             where = np.nonzero(on)[0] if where is None else where[on]
             start, end = self._rank(level, start), self._rank(level, end)
         return out
@@ -131,7 +157,18 @@ class TokenFile:
         return int(self.tokens(i, i + 1)[0])
 
     def document(self, k: int) -> np.ndarray:
-        return self.tokens(int(self.offsets[k]), int(self.offsets[k + 1]))
+        start, end = self._part("offsets", np.int64, k, k + 2).tolist()
+        return self.tokens(start, end)
+
+    def documents(self) -> Iterator[np.ndarray]:
+        """The ids of every document in turn, decoded in runs of about ``RUN_TOKENS``."""
+        offsets = self.offsets
+        first = 0
+        while first < self.n_documents:
+            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + RUN_TOKENS, "right")) - 1)
+            run = self.tokens(int(offsets[first]), int(offsets[last]))
+            yield from np.split(run, offsets[first + 1 : last] - offsets[first])
+            first = last
 
 
 def dump(keys: list[int | None], lengths: list[int], ids: np.ndarray) -> Iterator[bytes]:
@@ -145,11 +182,19 @@ def dump(keys: list[int | None], lengths: list[int], ids: np.ndarray) -> Iterato
         yield x.tobytes() + bytes(-x.nbytes % 8)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte but 0: itself if it is visible in Latin-1."""
+    visible = {b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden) if b}
+
+
 class _Library:
-    """The tokenizers library behind a bounded cache of chunks that follow a lone space.
+    """The tokenizers library behind a bounded cache of pre-tokens.
 
-    Its pre-tokenizer never crosses such a space, so a chunk's ids don't depend on its neighbours. A text that
-    holds the string of a special token, or a vocabulary of another make, goes to the library whole.
+    Texts of common characters are cut into pre-tokens here, and the library's merges run once for each that is not
+    known yet. What has other characters or the string of a special token, and all texts where the vocabulary is of
+    another make, go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -158,69 +203,28 @@ class _Library:
 
         self.library = Tokenizer.from_file(path)
         state = json.loads(self.library.to_str())
-        pre = state.get("pre_tokenizer") or {}
-        self.local = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and state.get("normalizer") is None and (state.get("post_processor") or {}).get("type") in (None, "ByteLevel") and state["model"]["type"] == "BPE"
+        pre, model = state.get("pre_tokenizer") or {}, state["model"]
+        self.local = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and state.get("normalizer") is None and (state.get("post_processor") or {}).get("type") in (None, "ByteLevel") and model["type"] == "BPE" and not model.get("dropout")
         self.special = [x["content"] for x in state.get("added_tokens", [])]
-        self.known: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-        self.after_space = np.array([(self.library.id_to_token(i) or "").startswith("\u0120") for i in range(self.library.get_vocab_size())])
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, np.uint32).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _spaced(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each chunk with a space in front; many go to the library as one text, cut at those spaces."""
-        out: list[bytes] = []
-        for k in range(0, len(chunks), JOINED):
-            part = chunks[k : k + JOINED]
-            if not any(map(_WHITE.search, part)):
-                ids = np.frombuffer(self._ids([" " + " ".join(part)])[0], np.uint32)
-                at = np.flatnonzero(self.after_space[ids])
-                if len(at) == len(part):
-                    raw, cuts = ids.tobytes(), [*(at * 4).tolist(), 4 * len(ids)]
-                    out += [raw[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
-                    continue
-            out += self._ids([" " + w for w in part])
-        return out
+        self.letters = _byte_letters()
+        self.cache = PieceCache(CACHE_SIZE)
 
-    def _learn(self, fresh: list[str]) -> None:
-        """Put chunks in the cache. What follows a run of letters is a pre-token of its own, so both parts are kept."""
-        known, cut = self.known, {}
-        plain, odd = set(), []
-        for w in fresh:
-            n = _LETTERS.match(w).end()
-            if 0 < n < len(w) and not w[n].isalpha():
-                cut[w] = n
-                if w[:n] not in known:
-                    plain.add(w[:n])
-            elif _WHITE.search(w):
-                odd.append(w)
-            else:
-                plain.add(w)
-        for words in (list(plain), odd):
-            known.update(zip(words, self._spaced(words), strict=True))
-        tails = list({w[n:] for w, n in cut.items()} - self.tails.keys())
-        self.tails.update(zip(tails, self._ids(tails), strict=True))
-        for w, n in cut.items():
-            known[w] = known[w[:n]] + self.tails[w[n:]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as unsigned 32-bit numbers."""
-        whole = [not self.local or any(s in t for s in self.special) for t in texts]
-        cut = [[] if w else space_chunks(t) for w, t in zip(whole, texts, strict=True)]
-        known = self.known
-        heads = self._ids([t if w else ws.pop(0) for w, ws, t in zip(whole, cut, texts, strict=True)])
-        fresh = list(set(chain.from_iterable(cut)).difference(known))
-        self._learn(fresh)
-        out = [head + b"".join(map(known.__getitem__, ws)) for head, ws in zip(heads, cut, strict=True)]
-        for w in fresh:
-            if len(w) > CACHED_CHARS:
-                del known[w]
-        if len(known) > CACHE_SIZE:
-            known.clear()
-        if len(self.tails) > CACHE_SIZE // 4:
-            self.tails.clear()
-        return out
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for k in range(0, len(texts), JOINED) for x in self.library.encode_batch_fast(texts[k : k + JOINED], add_special_tokens=False)]
+
+    def _merge(self, pieces: list[bytes]) -> list[list[int]]:
+        tokenize = self.library.model.tokenize
+        return [[t.id for t in tokenize(w)] for w in b"\0".join(pieces).decode("latin-1").translate(self.letters).split("\0")]
+
+    def _aside(self, text: str) -> bool:
+        return not self.local or any(s in text for s in self.special)
+
+    def encode(self, texts: list[str], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, how many each has), with ``end_id`` after each text."""
+        ids, lengths = encode_texts(texts, self.cache, self._merge, self._whole, self._aside)
+        if end_id is None:
+            return ids, lengths
+        return np.insert(ids, np.cumsum(lengths), np.uint32(end_id)), lengths + 1
 
 
 _libraries: dict[str, _Library] = {}
@@ -236,29 +240,39 @@ def write_tokens(df: DataFrame, folder: str, path: str, end_id: int | None, key:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = _libraries.setdefault(path, None) or _Library(path)
         _libraries[path] = library
-        tail = b"" if end_id is None else np.uint32(end_id).tobytes()
         task, seq = TaskContext.get().partitionId(), 0
         keys, lengths, parts, n = [], [], [], 0
 
         def close() -> pa.RecordBatch:
             nonlocal keys, lengths, parts, n, seq
-            uri = write_file(folder, f"{task:06d}-{seq:06d}.dac", dump(keys, lengths, np.frombuffer(b"".join(parts), np.uint32)))
+            uri = write_file(folder, f"{task:06d}-{seq:06d}.dac", dump(keys, lengths, np.concatenate(parts)))
             row = pa.RecordBatch.from_pydict({"task": [task], "seq": [seq], "uri": [uri], "n_documents": [len(keys)], "n_tokens": [n]})
             keys, lengths, parts, n, seq = [], [], [], 0, seq + 1
             return row
 
+        def encoded(ks: list, texts: list[str]) -> None:
+            nonlocal n
+            ids, sizes = library.encode(texts, end_id)
+            keys.extend(ks)
+            lengths.extend(sizes.tolist())
+            parts.append(ids)
+            n += len(ids)
+
         for batch in batches:
-            ks = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for at in range(0, len(texts), 2000):
-                for k, ids in zip(ks[at : at + 2000], library.encode(texts[at : at + 2000]), strict=True):
-                    ids += tail
-                    keys.append(k)
-                    parts.append(ids)
-                    lengths.append(len(ids) // 4)
-                    n += len(ids) // 4
+            ks, texts, chars = [], [], 0
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ks.append(k)
+                texts.append(t or "")
+                chars += len(texts[-1])
+                if chars >= BATCH_CHARS:
+                    encoded(ks, texts)
+                    ks, texts, chars = [], [], 0
                     if n >= file_tokens:
                         yield close()
+            if ks:
+                encoded(ks, texts)
+                if n >= file_tokens:
+                    yield close()
         if keys:
             yield close()
 
@@ -276,9 +290,9 @@ def read_tokens(manifest: DataFrame, key: str = "doc_id") -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 file = TokenFile(read_file(row["uri"]))
-                crc = [zlib.crc32(file.document(k)) for k in range(file.n_documents)]
-                keys = pa.array(file.keys, mask=file.null_keys.astype(bool))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(file.offsets[:-1] + row["first_token"]), pa.array(np.diff(file.offsets)), pa.array(crc, pa.int64())], ["key", "start", "n_tokens", "ids_crc32"])
+                crc = [zlib.crc32(ids) for ids in file.documents()]
+                keys, offsets = pa.array(file.keys, mask=file.null_keys.astype(bool)), file.offsets
+                yield pa.RecordBatch.from_arrays([keys, pa.array(offsets[:-1] + row["first_token"]), pa.array(np.diff(offsets)), pa.array(crc, pa.int64())], ["key", "start", "n_tokens", "ids_crc32"])
 
     spread = manifest.repartition(tasks(manifest.sparkSession), "uri")  # by number: the rows are few and small, their files are not
     return spread.mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("key", key)
