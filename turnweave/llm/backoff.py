@@ -4,12 +4,13 @@ S(w | context) is count(context w) / count(context) if count(context w) is at le
 ``alpha`` times the score with a context shorter by a word, and at last count(w) / N. A document's score is the
 sum of log10 S over its words.
 
-Relations: the corpus is cut into blocks of documents; a block is a relation of its distinct n-grams (64-bit
-hashes) with their counts inside, cut by hash into buckets. The count table of a bucket is the union of all
-blocks' n-grams of that bucket, summed; joined back to the blocks it gives every n-gram of a block its count
-in the corpus, and a block, which lies in the shared folder as word hashes, is exploded into n-grams again,
-joined with those counts and summed by document. An n-gram passes the shuffle once a block, not once an
-occurrence, so a frequent one is no hot key; a bucket's size is the input's over the number of buckets.
+Relations: the corpus is cut into blocks of documents; a block, which lies in the shared folder as word hashes, is
+exploded into its distinct n-grams (64-bit hashes) with their counts inside, cut by hash into buckets. The count
+table of a bucket is the union of all blocks' n-grams of that bucket, summed; joined back to the blocks it gives
+every n-gram of a block its count in the corpus, and the blocks' words, joined with those counts, are summed by
+document. An n-gram passes the shuffle once a block, not once an occurrence, so a frequent one is no hot key. The
+number of buckets follows from the number of words, so that a bucket holds about ``BUCKET_WORDS`` whatever the
+input. The orders go one after another, so only one order's n-grams are on disk at a time.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, shared_dir, tasks
-from .jaccard import WordHashes, mix, words
+from .spans import mix, word_hashes
 from .store import read_file, write_file
 
-#: Words after which a block is closed.
-BLOCK_WORDS = 1_500_000
+#: Words after which a block is closed; words of the corpus for each bucket; characters that are hashed together.
+BLOCK_WORDS = 2_500_000
+BUCKET_WORDS = 2_000_000
+HASH_CHARS = 1 << 21
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
-_hashes = WordHashes()
 
 
 def ngram_hashes(stream: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,107 +66,155 @@ def load_block(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return pa.array(docs, mask=nulls.astype(bool)), lengths, vocabulary[local] if len(local) else np.empty(0, np.uint64)
 
 
-def _cuts(grams: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket of the sorted hashes begins, and the end."""
-    edges = [min((k << 64) // buckets, (1 << 64) - 1) for k in range(1, buckets)]
-    return np.concatenate([[0], np.searchsorted(grams, np.array(edges, np.uint64)), [len(grams)]])
+def pack_sorted(x: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers by their differences, six bytes each where that is enough."""
+    step = np.diff(x, prepend=x[:1])
+    width = 6 if not len(step) or int(step.max()) < 1 << 48 else 8
+    first = int(x[0]) if len(x) else 0
+    return bytes([width]) + first.to_bytes(8, "little") + step.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def _blocks(df: DataFrame, folder: str, order: int, buckets: int, block_words: int) -> DataFrame:
-    """``block, n, bucket, grams, counts``; the row with n = 0 says how many words the block has."""
+def unpack_sorted(data: bytes) -> np.ndarray:
+    width, first = data[0], int.from_bytes(data[1:9], "little")
+    step = np.zeros(((len(data) - 9) // width, 8), np.uint8)
+    step[:, :width] = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
+    return np.cumsum(step.view("<u8").ravel(), dtype=np.uint64) + np.uint64(first)
+
+
+def pack_counts(x: np.ndarray) -> bytes:
+    """Whole numbers, most of them small: a byte each, 255 for those that follow in full."""
+    small = np.minimum(x, 255).astype(np.uint8)
+    return zlib.compress(len(x).to_bytes(8, "little") + small.tobytes() + x[small == 255].astype(np.uint64).tobytes(), 1)
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    raw = zlib.decompress(data)
+    n = int.from_bytes(raw[:8], "little")
+    out = np.frombuffer(raw, np.uint8, n, 8).astype(np.uint64)
+    out[out == 255] = np.frombuffer(raw[8 + n :], np.uint64)
+    return out
+
+
+def _distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ascending distinct values, which of them each one is)."""
+    order = np.argsort(grams, kind="stable")
+    ranked = grams[order]
+    new = np.ones(len(grams), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    number = np.empty(len(grams), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ranked[new], number
+
+
+def _cuts(grams: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """The buckets that the ascending hashes fall into, with their places."""
+    bucket = (grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(grams) else np.empty(0, np.int64)
+    ends = np.append(at[1:], len(grams))
+    return zip(bucket[at].tolist(), map(slice, at.tolist(), ends.tolist()), strict=True)
+
+
+def write_blocks(df: DataFrame, folder: str, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``block, words``: a row for each block of documents (columns doc, text) that lies in the folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs: list = []
         hashes: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
         held = closed = 0
 
         def close() -> pa.RecordBatch:
-            nonlocal docs, hashes, held, closed
-            lengths = np.array([len(h) for h in hashes], np.int64)
-            stream = np.concatenate([np.empty(0, np.uint64), *hashes])
-            data = dump_block(docs, lengths, stream)
-            # Named by content, task and number in the task: a task that runs again writes the same file and sends
-            # the same rows, and equal blocks stay apart.
+            nonlocal docs, hashes, lengths, held, closed
+            data = dump_block(docs, np.concatenate(lengths), np.concatenate(hashes))
+            # Named by content, task and number in the task: a task that runs again writes the same file, and equal
+            # blocks stay apart.
             name = f"{hashlib.blake2b(data, digest_size=16).hexdigest()}-{TaskContext.get().partitionId()}-{closed}"
             write_file(folder, name, data, exact=True)
-            rows: dict[str, list] = {"block": [name], "n": [0], "bucket": [int(name[:12], 16) % buckets], "grams": [len(stream).to_bytes(8, "big")], "counts": [b""]}
-            for n in range(1, order + 1):
-                grams, counts = np.unique(ngram_hashes(stream, lengths, n)[0], return_counts=True)
-                cuts = _cuts(grams, buckets)
-                for k in np.flatnonzero(np.diff(cuts)).tolist():
-                    part = slice(cuts[k], cuts[k + 1])
-                    for column, value in zip(rows, (name, n, k, grams[part].tobytes(), zlib.compress(counts[part].astype(np.uint32).tobytes(), 1)), strict=True):
-                        rows[column].append(value)
-            docs, hashes, held, closed = [], [], 0, closed + 1
-            return pa.RecordBatch.from_pydict(rows, pa.schema([("block", pa.string()), ("n", pa.int32()), ("bucket", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())]))
+            row = pa.RecordBatch.from_pydict({"block": [name], "words": [held]}, pa.schema([("block", pa.string()), ("words", pa.int64())]))
+            docs, hashes, lengths, held, closed = [], [], [], 0, closed + 1
+            return row
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ws = words(text)
-                docs.append(doc)
-                hashes.append(np.fromiter(map(_hashes.__getitem__, ws), np.uint64, len(ws)))
-                held += len(ws)
-                if held >= block_words:
-                    yield close()
+            ids, texts, chars = [], [], 0
+            for k, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), 1):
+                ids.append(doc)
+                texts.append(text)
+                chars += len(text or "")
+                if chars >= HASH_CHARS or k == batch.num_rows:
+                    found, sizes = word_hashes(texts)
+                    docs += ids
+                    hashes.append(found)
+                    lengths.append(sizes)
+                    held += len(found)
+                    ids, texts, chars = [], [], 0
+                    if held >= block_words:
+                        yield close()
         if docs:
             yield close()
 
-    return df.mapInArrow(run, "block string, n int, bucket int, grams binary, counts binary")
+    return materialize(df.mapInArrow(run, "block string, words long"), "lm-blocks")
+
+
+def corpus_counts(blocks: DataFrame, folder: str, n: int, buckets: int) -> DataFrame:
+    """``block, n, bucket, totals``: the corpus counts of each block's distinct n-grams, in ascending order of hash."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in batch.column(0).to_pylist():
+                _, lengths, stream = load_block(read_file(f"{folder}/{block}"))
+                grams, counts = np.unique(ngram_hashes(stream, lengths, n)[0], return_counts=True)
+                rows = [(block, k, pack_sorted(grams[part]), pack_counts(counts[part])) for k, part in _cuts(grams, buckets)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["block", "bucket", "grams", "counts"])
 
+    def total(table: pa.Table) -> pa.Table:
+        parts = list(map(unpack_sorted, table.column("grams").to_pylist()))
+        _, number = _distinct(np.concatenate(parts))
+        counts = np.concatenate(list(map(unpack_counts, table.column("counts").to_pylist())))
+        answer = np.bincount(number, weights=counts)[number].astype(np.uint64)
+        packed = [pack_counts(x) for x in np.split(answer, np.cumsum([len(p) for p in parts])[:-1])]
+        return pa.table({"block": table.column("block"), "n": pa.array([n] * len(parts), pa.int32()), "bucket": table.column("bucket"), "totals": pa.array(packed, pa.binary())})
 
-def _totals(table: pa.Table) -> pa.Table:
-    """The count table of one bucket and order, joined back to the blocks that asked."""
-    if table.column("n")[0].as_py() == 0:
-        return table.select(["block", "n", "bucket"]).append_column("totals", table.column("grams"))
-    parts = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
-    counts = np.concatenate([np.frombuffer(zlib.decompress(x), np.uint32) for x in table.column("counts").to_pylist()])
-    _, where = np.unique(np.concatenate(parts), return_inverse=True)
-    total = np.bincount(where, weights=counts)[where].astype(np.uint64)
-    cuts = np.cumsum([len(p) for p in parts])[:-1]
-    totals = [zlib.compress(x.tobytes(), 1) for x in np.split(total, cuts)]
-    return table.select(["block", "n", "bucket"]).append_column("totals", pa.array(totals, pa.binary()))
+    exploded = blocks.select("block").repartition(tasks(blocks.sparkSession)).mapInArrow(explode, "block string, bucket long, grams binary, counts binary")
+    return materialize(exploded.groupBy("bucket").applyInArrow(total, "block string, n int, bucket long, totals binary"), f"lm-counts-{n}")
 
 
 def stupid_backoff(df: DataFrame, order: int = 3, alpha: float = 0.4, min_count: int = 2, key: str = "doc_id", text: str = "text", buckets: int | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``key, n_words, log10_score, log10_mean``: one row for each row of ``df``.
 
     Words are lower-cased (A-Z) and separated by ASCII white space; counts are over all rows. A null or empty
-    text has no words, score 0 and a null mean. Repeated rows count and are scored each; null keys stay.
+    text has no words, score 0 and a null mean. Repeated rows count and are scored each; null keys stay. Other
+    columns of ``df``, whatever their names, play no part.
     """
     spark = df.sparkSession
     folder = shared_dir(spark, "lm-blocks")
-    buckets = buckets or tasks(spark)
-    rows = _blocks(df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")), folder, order, buckets, block_words)
-    totals = rows.groupBy("bucket", "n").applyInArrow(_totals, "block string, n int, bucket int, totals binary")
-    totals = materialize(totals, "lm-totals")
-    sizes = totals.where("n = 0").select(F.conv(F.hex("totals"), 16, 10).cast("long").alias("words"))
-    n_all = sizes.agg(F.sum("words")).first()[0] or 0
+    blocks = write_blocks(df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")), folder, block_words)
+    n_all = blocks.agg(F.sum("words")).first()[0] or 0
+    buckets = buckets or max(tasks(spark), -(-n_all // BUCKET_WORDS))
+    counts = [corpus_counts(blocks, folder, n, buckets) for n in range(1, order + 1)]
+    # A row of order 0 for each block, so that a block without n-grams is scored too.
+    every = reduce(DataFrame.unionByName, counts, blocks.select("block", F.lit(0).alias("n"), F.lit(0).cast("long").alias("bucket"), F.lit(b"").alias("totals")))
 
     def score(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
         docs, lengths, stream = load_block(read_file(f"{folder}/{block}"))
-        answers: dict[tuple[int, int], bytes] = {(n, k): t for n, k, t in zip(*(table.column(c).to_pylist() for c in ("n", "bucket", "totals")), strict=True)}
+        answers: dict[int, list[tuple[int, bytes]]] = {n: [] for n in range(order + 1)}
+        for n, k, totals in zip(*(table.column(c).to_pylist() for c in ("n", "bucket", "totals")), strict=True):
+            answers[n].append((k, totals))
         best = np.zeros(len(stream))  # S of each word so far, from the shortest context up
-        shorter = np.full(len(stream), float(n_all))  # counts of the n-grams one word shorter, by last word
+        shorter = np.zeros(len(stream))  # counts of the n-grams one word shorter, by last word
         for n in range(1, order + 1):
             grams, at = ngram_hashes(stream, lengths, n)
-            distinct, where = np.unique(grams, return_inverse=True)
-            cuts = _cuts(distinct, buckets)
-            parts = [np.frombuffer(zlib.decompress(answers[n, k]), np.uint64) for k in np.flatnonzero(np.diff(cuts)).tolist()]
-            count = np.concatenate([np.empty(0), *parts])[where]
+            count = np.concatenate([np.empty(0), *(unpack_counts(t) for _, t in sorted(answers[n]))])[_distinct(grams)[1]]
             if n == 1:
                 best[at] = count / n_all
-                shorter = np.zeros(len(stream))
-                shorter[at] = count
             else:
-                seen = count >= min_count
-                best[at] = np.where(seen, count / shorter[at - 1], alpha * best[at])
-                shorter = np.zeros(len(stream))
-                shorter[at] = count
-        logs = np.log10(best)
-        total = np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights=logs, minlength=len(lengths)) if len(lengths) else np.empty(0)
+                best[at] = np.where(count >= min_count, count / shorter[at - 1], alpha * best[at])
+            shorter = np.zeros(len(stream))
+            shorter[at] = count
+        total = np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights=np.log10(best), minlength=len(lengths)) if len(lengths) else np.empty(0)
         mean = pa.array(total / np.maximum(lengths, 1), mask=lengths == 0)
         return pa.table({"doc": docs, "n_words": pa.array(lengths), "log10_score": pa.array(total, pa.float64()), "log10_mean": mean})
 
-    out = totals.groupBy("block").applyInArrow(score, "doc long, n_words long, log10_score double, log10_mean double")
+    out = every.groupBy("block").applyInArrow(score, "doc long, n_words long, log10_score double, log10_mean double")
     return out.withColumnRenamed("doc", key)
