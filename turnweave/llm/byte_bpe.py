@@ -8,7 +8,7 @@ merge costs constant time whatever the length, so a pre-token of a million bytes
 
 Pre-tokens never touch each other, so one queue serves a whole batch of them: the order of merges inside each
 is the same as alone, and the entries of a bucket are merged together in numpy. What a worker has encoded
-it keeps in a bounded cache, by chunks between lone spaces.
+it keeps in a bounded cache of pre-tokens.
 """
 
 from __future__ import annotations
@@ -23,15 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import space_chunks
+from .spans import PATTERN, PieceCache, encode_texts
 
-#: Chunks in a worker's cache before it starts anew; longer ones are not kept.
-CACHE_SIZE = 700_000
-CACHED_CHARS = 64
+#: Pre-tokens in a worker's cache.
+CACHE_SIZE = 1_500_000
 #: Bytes of pre-tokens that go through one queue at a time.
 QUEUE_BYTES = 1 << 20
 #: Text characters that are encoded together.
-CHUNK_CHARS = 1 << 22
+CHUNK_CHARS = 1 << 21
 
 
 class RankBitmap:
@@ -210,34 +209,18 @@ def load(path: str, pattern: str) -> ByteBPE:
         return ByteBPE({base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, f))}, pattern)
 
 
-_known: dict[tuple[str, str], dict[str, str]] = {}
+_caches: dict[tuple[str, str], PieceCache] = {}
 
 
-def _id_texts(bpe: ByteBPE, chunks: list[str]) -> list[str]:
-    """The decimal ids of each chunk, joined by commas."""
-    split = [bpe.split(c) for c in chunks]
-    fresh = list(dict.fromkeys(p for ps in split for p in ps))
-    ids = dict(zip(fresh, (",".join(map(str, x)) for x in bpe.encode_batch([p.encode() for p in fresh])), strict=True))
-    return [",".join(map(ids.__getitem__, ps)) for ps in split]
+def encode_ids(bpe: ByteBPE, cache: PieceCache, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts end to end, how many each has). ``cache`` holds pre-tokens that are known."""
 
+    def whole(chunks: list[str]) -> list[list[int]]:
+        split = [[m.encode() for m in bpe.split(c)] for c in chunks]
+        ids = iter(bpe.encode_batch([m for ms in split for m in ms]))
+        return [[i for _ in ms for i in next(ids)] for ms in split]
 
-def id_texts(bpe: ByteBPE, known: dict[str, str], texts: list[str]) -> list[str]:
-    """The decimal ids of each text, joined by commas. ``known`` is a cache of chunks that follow a space.
-
-    No match of the pattern crosses a lone space between two visible characters other than by starting at it,
-    so such chunks are independent of each other.
-    """
-    cut = [space_chunks(t) if t else [] for t in texts]
-    fresh = list({w for ws in cut for w in ws[1:] if w not in known})
-    known.update(zip(fresh, _id_texts(bpe, [" " + w for w in fresh]), strict=True))
-    heads = _id_texts(bpe, [ws[0] if ws else "" for ws in cut])
-    out = [",".join([head, *map(known.__getitem__, ws[1:])]) if ws else "" for head, ws in zip(heads, cut, strict=True)]
-    for w in fresh:
-        if len(w) > CACHED_CHARS:
-            del known[w]
-    if len(known) > CACHE_SIZE:
-        known.clear()
-    return out
+    return encode_texts(texts, cache, bpe.encode_batch, whole, lambda t: bpe.pattern.pattern != PATTERN)
 
 
 def encode_decode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
@@ -250,19 +233,19 @@ def encode_decode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
-        known = _known.setdefault((path, pattern), {})
-        token = {str(i): b for i, b in bpe.bytes_of.items()}.__getitem__
+        cache = _caches.setdefault((path, pattern), PieceCache(CACHE_SIZE))
+        decimal, token = list(map(str, range(bpe.size))).__getitem__, bpe.bytes_of.__getitem__
 
         def encoded(keys: pa.Array, texts: list[str]) -> pa.RecordBatch:
-            counts, shas, decoded, all_ids = [], [], [], []
-            for joined in id_texts(bpe, known, texts):
-                ids = joined.split(",") if joined else []
-                counts.append(len(ids))
-                shas.append(hashlib.sha256(joined.encode()).hexdigest())
+            shas, decoded, all_ids = [], [], []
+            flat, sizes = encode_ids(bpe, cache, [t or "" for t in texts])
+            for part in np.split(flat, np.cumsum(sizes)[:-1]):
+                ids = part.tolist()
+                shas.append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(b"".join(map(token, ids))).hexdigest())
                 if with_ids:
-                    all_ids.append(list(map(int, ids)))
-            cols = [keys, pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(decoded, pa.string())]
+                    all_ids.append(ids)
+            cols = [keys, pa.array(sizes, pa.int64()), pa.array(shas, pa.string()), pa.array(decoded, pa.string())]
             return pa.RecordBatch.from_arrays(cols + [pa.array(all_ids, pa.list_(pa.int32()))] * with_ids, ["key", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids)
 
         for batch in batches:
