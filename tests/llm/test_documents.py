@@ -350,6 +350,11 @@ def test_decontamination(spark, docs):
         got = sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in out.collect()), key=repr)
         assert got == want
     assert any(r[-1] for r in want) and set(docs.columns) <= set(out.columns)
+    named = items.select(F.concat(F.lit("x"), F.col("item_id").cast("string")).alias("item_id"), "text")
+    want = brute_contamination([(d, t) for d, t, _ in rows_of(docs)], [(r.item_id, r.text) for r in named.collect()])
+    for words in (10**6, 100):
+        got = decontamination.contamination(docs, named, block_words=words).select("doc_id", *decontamination.RESULTS)
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == want
 
 
 def test_decontamination_without_items_or_documents(docs, spark):

@@ -7,8 +7,10 @@ the rarest one. The documents probe an index of prefix shingles; the shingle's p
 only possible start (positional bound), which must leave room for the whole window (length bound), and then
 the words themselves are compared.
 
-The items are a stated query set. They are broadcast in blocks of at most ``BLOCK_WORDS`` words, so no block
-depends on the size of the benchmark; each block is one more map over the documents, without a shuffle.
+The items are a stated query set. Up to ``BLOCK_WORDS`` words they are broadcast, and the documents are mapped
+without a shuffle. A larger benchmark stays a table: its windows are reduced to prefix shingles by joins, each
+document sends the places of those of its shingles that are a prefix of some window, and candidates that pass the
+bounds are verified against the document's words by a join on the row.
 """
 
 from __future__ import annotations
@@ -18,11 +20,19 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-#: Words of benchmark items that are broadcast at a time.
+from .common import materialize
+from .lookup import bitmap_filter
+
+#: Words of benchmark items, by a bound from their bytes, that are broadcast at most; places of a batch.
 BLOCK_WORDS = 1_000_000
+PLACES = 1 << 16
+RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+_PLACES = pa.schema([("row", pa.int64()), ("place", pa.int64()), ("last", pa.int64()), ("shingle", pa.int64())])
 
 #: All ASCII characters but letters and digits separate words.
 _SEPARATORS = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -43,20 +53,13 @@ def shingles_of(window: tuple[bytes, ...]) -> list[tuple[bytes, bytes | None]]:
     return list(zip(window, window[1:], strict=False)) or [(window[0], None)]
 
 
-def blocks_of(benchmark: DataFrame, key: str, text: str, size: int, block_words: int) -> Iterator[dict[tuple, list]]:
-    """Window to the ids of the items that have it, block after block."""
-    block: dict[tuple, list] = {}
-    held = 0
-    for item, t in benchmark.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, text).toLocalIterator():
-        ws = words(t)
-        if block and held + len(ws) > block_words:
-            yield block
-            block, held = {}, 0
-        held += len(ws)
-        for window in windows_of(ws, size):
-            block.setdefault(window, []).append(item)
-    if block:
-        yield block
+def windows_in(items: list[tuple], size: int) -> dict[tuple, list]:
+    """Window to the ids of the items that have it."""
+    out: dict[tuple, list] = {}
+    for item, t in items:
+        for window in windows_of(words(t), size):
+            out.setdefault(window, []).append(item)
+    return out
 
 
 def shingle_frequencies(df: DataFrame, text: str, windows: dict[tuple, list]) -> Counter:
@@ -122,64 +125,116 @@ def contamination(df: DataFrame, benchmark: DataFrame, window: int = 13, share:
     id, text or words have no windows; items that share an id are one item. Repeated rows stay. Columns of
     ``df`` with the name of a result are replaced.
     """
-    results = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    own = [c for c in df.columns if c not in results]
-    out = df.select(*own)
-    blocks = blocks_of(benchmark, item_key, item_text, window, block_words)
-    block = next(blocks, {})
-    first = True
-    while True:
-        following = next(blocks, None)
-        index = prefix_index(block, shingle_frequencies(df, text, block)) if block else {}
-        out = _scan(out, index, text, own, first, following is None, share)
-        if following is None:
-            return out
-        block, first = following, False
-
-
-def _scan(df: DataFrame, index: dict[bytes, list[tuple]], text: str, own: list[str], first: bool, last: bool, share: tuple[int, int]) -> DataFrame:
-    """One more block of windows: ``__spans`` and ``__items`` gather what has been found until the last."""
-    shared = df.sparkSession.sparkContext.broadcast(index)
+    own = [c for c in df.columns if c not in RESULTS]
+    items = benchmark.where(F.col(item_key).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_key).alias("item"), F.col(item_text).alias("text"))
+    # Every word but the last has a separator behind it, so a text has at most half as many words as bytes, rounded up.
+    bound = items.agg(F.sum(F.ceil(F.octet_length("text") / 2))).first()[0] or 0
+    if bound > block_words:
+        return _joined(df.select(*own), items, window, share, text)
+    found = windows_in([tuple(r) for r in items.collect()], window) if bound else {}
+    return _scan(df.select(*own), prefix_index(found, shingle_frequencies(df, text, found)) if found else {}, text, share)
+
+
+def _verdict(ws: list[bytes], spans: list[tuple[int, int]], items: set, share: tuple[int, int]) -> tuple:
+    hit, end = 0, 0
+    for a, b in sorted(spans):
+        hit += max(0, b - max(a, end))
+        end = max(end, b)
+    sha = hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
+    return len(ws), hit, len(items), sha, hit > 0 and share[1] * hit >= share[0] * len(ws)
+
+
+def _with_results(schema: StructType) -> StructType:
+    kinds = (LongType(), LongType(), LongType(), StringType(), BooleanType())
+    return StructType([*schema.fields, *(StructField(name, kind) for name, kind in zip(RESULTS, kinds, strict=True))])
+
+
+def _appended(batch: pa.RecordBatch, columns: list[str], verdicts: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
+    more = [pa.array([v[k] for v in verdicts], kind) for k, kind in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays([batch.column(batch.schema.names.index(c)) for c in columns] + more, [*columns, *RESULTS])
+
+
+def _scan(df: DataFrame, index: dict[bytes, list[tuple]], text: str, share: tuple[int, int]) -> DataFrame:
+    """The documents against a broadcast index."""
+    shared, own = df.sparkSession.sparkContext.broadcast(index), df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            names = batch.schema.names
-            n_words, n_hit, n_items, shas, bad, all_spans, all_items = [], [], [], [], [], [], []
-            spans_before = None if first else batch.column(names.index("__spans")).to_pylist()
-            items_before = None if first else batch.column(names.index("__items")).to_pylist()
-            for k, t in enumerate(batch.column(names.index(text)).to_pylist()):
+            verdicts = []
+            for t in batch.column(batch.schema.names.index(text)).to_pylist():
                 ws = words(t)
-                spans, items = find_windows(ws, index)
-                if not first:
-                    spans += zip(spans_before[k][::2], spans_before[k][1::2], strict=True)
-                    items |= set(items_before[k])
-                if not last:
-                    all_spans.append([x for s in spans for x in s])
-                    all_items.append(sorted(items))
-                    continue
-                hit, end = 0, 0
-                for a, b in sorted(spans):
-                    hit += max(0, b - max(a, end))
-                    end = max(end, b)
-                n_words.append(len(ws))
-                n_hit.append(hit)
-                n_items.append(len(items))
-                shas.append(hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest())
-                bad.append(hit > 0 and share[1] * hit >= share[0] * len(ws))
-            cols = [batch.column(names.index(c)) for c in own]
-            if last:
-                more = [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(shas, pa.string()), pa.array(bad, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(cols + more, own + ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-            else:
-                yield pa.RecordBatch.from_arrays(cols + [pa.array(all_spans, pa.list_(pa.int64())), pa.array(all_items, pa.list_(pa.int64()))], own + ["__spans", "__items"])
-
-    from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructType
-
-    schema = StructType([df.schema[c] for c in own])
-    if last:
-        for name, kind in zip(("n_words", "n_hit", "n_items", "items_sha256", "contaminated"), (LongType(), LongType(), LongType(), StringType(), BooleanType()), strict=True):
-            schema = schema.add(name, kind)
-    else:
-        schema = schema.add("__spans", ArrayType(LongType())).add("__items", ArrayType(LongType()))
-    return df.mapInArrow(run, schema)
+                verdicts.append(_verdict(ws, *find_windows(ws, index), share))
+            yield _appended(batch, own, verdicts)
+
+    return df.mapInArrow(run, _with_results(df.schema))
+
+
+def _shingle_hash(s: tuple[bytes, bytes | None]) -> int:
+    return xxhash.xxh3_64_intdigest(s[0] + b" " + (b"" if s[1] is None else s[1])) - (1 << 63)
+
+
+def _joined(df: DataFrame, items: DataFrame, size: int, share: tuple[int, int], text: str) -> DataFrame:
+    """The same by joins, for a benchmark of any size.
+
+    ``windows``: window, its item and its shingles' hashes. ``frequency``: in how many documents a shingle occurs,
+    counted for the benchmark's shingles. ``prefix``: of each window the rarest shingle and its place. A document
+    row meets the windows of a prefix shingle by an equi-join of (shingle, place) with it; a shingle that very many
+    rows hold is no prefix unless all of its window's shingles are as frequent, and the join can be split.
+    """
+    rows = materialize(df.withColumn("__id", F.monotonically_increasing_id()), "documents")
+    kind = items.schema["item"].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, t in enumerate(batch.column(1).to_pylist()):
+                windows = windows_of(words(t), size)
+                if windows:
+                    item = pa.concat_arrays([batch.column(0).slice(k, 1)] * len(windows))
+                    hashes = [[_shingle_hash(s) for s in shingles_of(w)] for w in windows]
+                    yield pa.RecordBatch.from_arrays([item, pa.array([b" ".join(w) for w in windows], pa.binary()), pa.array(list(map(len, windows)), pa.int64()), pa.array(hashes, pa.list_(pa.int64()))], ["item", "words", "width", "hashes"])
+
+    windows = materialize(items.mapInArrow(cut, f"item {kind}, words binary, width long, hashes array<long>").distinct(), "benchmark-windows")
+    shingles = windows.select(F.explode("hashes").alias("shingle")).distinct()
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ws = words(t)
+                found = [_shingle_hash(s) for s in zip(ws, ws[1:], strict=False)]
+                one = [_shingle_hash((w, None)) for w in ws]
+                at = [*range(len(found)), *range(len(one))]
+                for k in range(0, len(at), PLACES):
+                    part = at[k : k + PLACES]
+                    yield pa.RecordBatch.from_pydict({"row": [row] * len(part), "place": part, "last": [len(ws)] * len(part), "shingle": (found + one)[k : k + PLACES]}, _PLACES)
+
+    held = rows.select("__id", F.col(text).alias("text")).mapInArrow(places, "row long, place long, last long, shingle long")
+    held = materialize(bitmap_filter(held, "shingle", shingles).join(shingles, "shingle", "left_semi"), "benchmark-places")
+    frequency = held.select("row", "shingle").distinct().groupBy("shingle").agg(F.count("*").alias("n"))
+    ranked = windows.select("item", "words", "width", F.size("hashes").alias("size"), F.posexplode("hashes").alias("at", "shingle")).join(frequency, "shingle")
+    # A window with a shingle that no document has can't occur.
+    prefix = ranked.groupBy("item", "words").agg(F.min(F.struct("n", "shingle", "at")).alias("p"), F.count("*").alias("known"), F.first("size").alias("size"), F.first("width").alias("width")).where("known = size")
+    prefix = prefix.select("item", "words", F.col("p.shingle").alias("shingle"), F.col("p.at").alias("at"), "width")
+    start = F.col("place") - F.col("at")
+    candidates = held.join(prefix, "shingle").where((start >= 0) & (start + F.col("width") <= F.col("last")))
+    candidates = candidates.groupBy("row").agg(F.collect_set(F.struct("item", start.alias("start"), "words")).alias("found"))
+
+    own = df.columns
+    both = rows.join(candidates.withColumnRenamed("row", "__id"), "__id", "left").drop("__id").withColumnRenamed("found", "__found")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            verdicts = []
+            names = batch.schema.names
+            for t, found in zip(batch.column(names.index(text)).to_pylist(), batch.column(names.index("__found")).to_pylist(), strict=True):
+                ws, spans, hits = words(t), set(), set()
+                for c in found or []:
+                    window = c["words"].split(b" ")
+                    if ws[c["start"] : c["start"] + len(window)] == window:
+                        spans.add((c["start"], c["start"] + len(window)))
+                        hits.add(c["item"])
+                verdicts.append(_verdict(ws, list(spans), hits, share))
+            yield _appended(batch, own, verdicts)
+
+    return both.mapInArrow(verify, _with_results(df.schema))
