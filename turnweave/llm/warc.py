@@ -53,17 +53,21 @@ def record(key: int | None, url: str | None, payload: bytes, digest: str, refers
 
 
 def inflate(file) -> Iterator[bytes]:
-    """The plain bytes of a gzip file, member after member, in bounded pieces."""
+    """The plain bytes of a gzip file, member after member, in bounded pieces; raises if the last one is cut off."""
     d = zlib.decompressobj(31)
+    fresh = True  # nothing of this member has been read
     while data := file.read(READ_BYTES):
-        while data:
-            yield d.decompress(data, READ_BYTES)
+        while data or d.unconsumed_tail:
+            fresh = False
+            yield d.decompress(data or d.unconsumed_tail, READ_BYTES)
             data = d.unconsumed_tail
             if d.eof:
                 data = d.unused_data
-                d = zlib.decompressobj(31)
-    if tail := d.flush():
-        yield tail
+                d, fresh = zlib.decompressobj(31), True
+    while not fresh and not d.eof and (rest := d.decompress(b"", READ_BYTES)):
+        yield rest
+    if not fresh and not d.eof:
+        raise ValueError("the archive ends inside a gzip member")
 
 
 def split_records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
