@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import atexit
 import re
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_dir: str | None = None
+from ..store import materialize, remove_dir, shared_dir
+
+__all__ = ["arrow_rows", "let", "materialize", "original", "own_columns", "remove_dir", "shared_dir", "space_chunks", "table", "tasks"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -22,37 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder (as URI) that driver and executors share.
-
-    It lies under ``spark.checkpoint.dir``; only where the session has no such setting (tests, one
-    machine) a temporary folder is made and set.
-    """
-    global _own_dir
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if _own_dir is None:
-            _own_dir = tempfile.mkdtemp(prefix="turnweave-")
-            atexit.register(shutil.rmtree, _own_dir, ignore_errors=True)
-        base = f"file://{_own_dir}"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = shared_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove_dir(spark: SparkSession, uri: str) -> None:
-    """Delete a folder of the shared store through Hadoop's file system."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(uri)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
     """Arrow batches of at most so many rows in the actions inside, where a row may be large."""
@@ -79,8 +46,19 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def text_or_empty(column: str = "text") -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
+def own_columns(df: DataFrame, *names: str) -> DataFrame:
+    """The columns ``names`` (null where ``df`` lacks one) and a struct ``__row`` of all others.
+
+    What an operator adds can then clash with none of them; ``original`` puts them back.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    own = [F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("string").alias(c) for c in names]
+    return df.select(*own, F.struct(*rest, F.lit(0).alias("__any")).alias("__row"))
+
+
+def original(df: DataFrame, columns: list[str], *names: str) -> DataFrame:
+    """The columns that ``own_columns`` took aside for these names, in their order."""
+    return df.select(*(F.col(c) if c in names else F.col(f"__row.`{c}`") for c in columns))
 
 
 _ODD_SPACE = re.compile(r" \s|\s |^ | $")

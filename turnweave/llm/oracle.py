@@ -43,4 +43,37 @@ select d.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit
 from d left join h using (doc_id) left join m using (doc_id)
 """
 
-SQL = {"op4_warc": OP4, "op8_jaccard": OP8, "op10_decontamination": OP10}
+OP7 = rf"""
+with w as (select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UP}), '[^\x20\x09-\x0D]+') as ws from documents),
+g as (select r, i, ws[i] as a, case when i > 1 then ws[i - 1] end as b, case when i > 2 then ws[i - 2] end as c from (select r, ws, unnest(range(1, len(ws) + 1)) as i from w)),
+one as (select a, count(*) as n from g group by 1),
+two as (select b, a, count(*) as n from g where b is not null group by 1, 2),
+three as (select c, b, a, count(*) as n from g where c is not null group by 1, 2, 3),
+s as (select r, case when k.n >= 2 then k.n / q.n else case when g.c is null then 1 else 0.4 end * (case when t.n >= 2 then t.n / p.n else case when g.b is null then 1 else 0.4 end * (o.n / (select count(*) from g)) end) end as s
+  from g join one o on o.a = g.a left join one p on p.a = g.b left join two t on t.b = g.b and t.a = g.a left join two q on q.b = g.c and q.a = g.b
+  left join three k on k.c = g.c and k.b = g.b and k.a = g.a),
+x as (select r, sum(log10(s)) as total from s group by 1)
+select doc_id, len(ws)::bigint as n_words, round(coalesce(total, 0), 6) as log10_score, round(total / len(ws), 6) as log10_mean from w left join x using (r)
+"""
+
+URL_LISTED = r"""
+with u as (select page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages),
+r(rule, domain, prefix, verdict) as (values ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'), ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+j as (select u.*, rule, verdict, row_number() over (partition by page_id order by length(rule) desc nulls last) as k
+  from u left join r on (host = domain or ends_with(host, '.' || domain)) and starts_with(path, prefix))
+select page_id, host, path, rule, verdict as listed_verdict from j where k = 1
+"""
+
+QUALITY_BASE = r"""
+with w as (select row_number() over () as r, doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+g as (select r, i, array_to_string(ws[i:i + 2], ' ') as g from (select r, ws, unnest(range(1, len(ws) - 1)) as i from w)),
+again as (select r, g from g group by 1, 2 having count(*) > 1),
+hit as (select r, count(distinct p) as n from (select g.r, unnest(range(i, i + 3)) as p from g join again a on a.r = g.r and a.g = g.g) group by 1),
+lines as (select r, count(*) - count(distinct line) as n from (select r, unnest(string_split(t, chr(10))) as line from w) where regexp_matches(line, '[^\x20\x09-\x0D]') group by 1)
+select doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+  coalesce(lines.n, 0)::bigint as n_dup_lines, coalesce(hit.n, 0)::bigint as n_repeat_words, len(ws) < 50 or 100 * coalesce(hit.n, 0) > 50 * len(ws) as base_failed
+from w left join hit using (r) left join lines using (r)
+"""
+
+SQL = {"op4_warc": OP4, "op7_backoff": OP7, "op8_jaccard": OP8, "op10_decontamination": OP10, "url_listed_rules": URL_LISTED, "quality_base": QUALITY_BASE}
