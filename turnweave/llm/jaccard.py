@@ -389,7 +389,8 @@ def _components(df: DataFrame, threshold: Fraction, size: int, key: str, text: s
 
     node = F.coalesce("component", "rep").alias("node")
     placed = member.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("row", "doc", "rep", node)
-    least = placed.groupBy("node").agg(F.min("doc").alias("component_id"))
+    # Written, so that the join below stands alone in its stage and Spark can split a large component.
+    least = materialize(placed.groupBy("node").agg(F.min("doc").alias("component_id")), "component-ids")
     named = placed.join(least, "node").select("row", "component_id")
     out = sets.select("row", "doc", "n").join(named, "row", "left")
     columns = [F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id")]
