@@ -430,6 +430,40 @@ def test_values_that_end_oddly_or_are_written_otherwise(spark):
     assert sorted(back.select("doc_id", "text").collect()) == sorted(df.collect())
 
 
+def test_values_of_other_countries(spark):
+    """IBANs (check digits by plain arithmetic), telephone numbers, IPv6, names beyond ASCII, days of one digit."""
+    rows = {
+        "iban": ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR14 2004 1010 0505 0001 3M02 606"],
+        "phone": ["+44 20 7946 0958", "+33 1 23 45 67 89", "01 23 45 67 89", "+442079460958"],
+        "address6": ["2001:db8::8a2e:370:7334", "2001:0DB8:85A3:0000:0000:8A2E:0370:7334"],
+        "email": ["jané@example.com"],
+        "date": ["3.7.2021", "7/25/2021", "12/31/1999"],
+    }
+    flat = [(k, v) for k, vs in rows.items() for v in vs]
+    clean = ["DE89 3704 0044 0532 0130 01", "std::add 12:30:45 a::b::c", "31.31.2021 99/99/2021", "version 1.2.3 +1"]
+    df = spark.createDataFrame([(k, f"see {v}, please") for k, (_, v) in enumerate(flat)] + [(100 + k, t) for k, t in enumerate(clean)], "doc_id long, text string")
+    out = pii.pseudonymise(df, "key")
+    got = {r.doc_id: r for r in out.collect()}
+    for k, (kind, v) in enumerate(flat):
+        (found,) = got[k].pii
+        assert (found.kind, found.value) == (kind, v) and found.pseudonym != v, (v, found)
+        assert got[k].text == f"see {found.pseudonym}, please"
+        if kind != "date":
+            assert [c.isdigit() for c in found.pseudonym] == [c.isdigit() for c in v] or kind == "address6"
+            assert len(found.pseudonym) == len(v)
+        if kind == "iban":
+            plain = found.pseudonym.replace(" ", "")
+            assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1 and plain[:2] == v[:2]
+    assert all(got[100 + k].text == t for k, t in enumerate(clean))
+    back = {r.doc_id: r.text for r in pii.pseudonymise(out, "key", sign=-1).collect()}
+    assert all(back[k] == f"see {v}, please" for k, (kind, v) in enumerate(flat) if kind != "date")
+    assert digits_of(got[3 + 0].pii[0].pseudonym)[2:] == digits_of(got[6].pii[0].pseudonym)[2:]  # written otherwise, the same
+
+
+def digits_of(text):
+    return re.sub("[^0-9]", "", text)
+
+
 def test_pseudonyms_can_be_inverted(private, docs):
     for df in (private.select("doc_id", "text"), docs.select("doc_id", "text")):
         there = pii.pseudonymise(df, "key")

@@ -1,14 +1,17 @@
 """Personal data replaced by format-preserving Feistel pseudonyms, in DataFrame functions only.
 
-Payment card numbers (Luhn), telephone and social security numbers, IPv4 addresses, calendar dates, e-mail
-addresses and hexadecimal secrets are found by one regular expression and validated. A value is then permuted
+Payment card numbers (Luhn), account numbers (IBAN), telephone and social security numbers, IPv4 and IPv6 addresses,
+calendar dates, e-mail addresses and hexadecimal secrets are found by one regular expression and validated. A value is then permuted
 within its own format by a keyed Feistel network whose round function is SHA-256:
 
 * digits stay digits and letters stay letters of their case, at their places, separators included;
 * a card keeps its length and gets the check digit that makes it valid again;
-* a date with slashes is dd/MM/yyyy if it can be, else MM/dd/yyyy, and stays what it is;
+* a date with slashes is dd/MM/yyyy if it can be, else MM/dd/yyyy, and stays what it is; day and month of one digit
+  are read too, and a pseudonym of such a date has no leading zeros (so inverting may add them);
+* an IBAN keeps its country and gets the check digits that make it valid again; an IPv6 address keeps its groups;
 * an address stays four octets; a date stays a date of the same 400 Gregorian years (146,097 days = 189 * 773);
-* of an e-mail address the local part is permuted, of a telephone number the ten national digits.
+* of an e-mail address the local part is permuted (its letters a to z and digits), of a telephone number the ten
+  national digits, or abroad what follows the country code, or what follows the first two of five pairs of digits.
 
 The permutation depends on key, kind and value alone, so equal values have equal pseudonyms in all documents
 (also when written with other separators), different values different ones, and who has the key can invert it.
@@ -28,16 +31,23 @@ FIRST_DAY, DAYS, DAY_FACTORS = "1800-01-01", 146_097, (189, 773)
 MONTHS, LATE_DAYS, LATE_FACTORS = 4_800, 88_497, (9, 9_833)
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]++\.){1,126}[A-Za-z]{2,24}(?![A-Za-z0-9])"
-_DATE = r"(?<![0-9./\-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./\-][0-9])"
+_EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[A-Za-z0-9\-]++\.){1,126}[A-Za-z]{2,24}(?![A-Za-z0-9])"
+_DATE = r"(?<![0-9./\-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9]|[./\-][0-9])"
 _ADDRESS = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 _PHONE = r"(?<![0-9A-Za-z+])(?:\+?[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\)[ .\-]?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9])"
 _SSN = r"(?<![0-9\-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9]|-[0-9])"
 _CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){2}[ \-][0-9]{1,4}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9])"
 _SECRET = r"(?<![A-Za-z0-9])(?=[0-9]{0,63}[A-Fa-f])(?=[A-Fa-f]{0,63}[0-9])[0-9A-Fa-f]{32,64}(?![A-Za-z0-9])"
-ANY = "|".join((_EMAIL, _ADDRESS, _DATE, _PHONE, _SSN, _SECRET, _CARD))
+_GROUP = "[0-9A-Fa-f]{1,4}"
+_ADDRESS6 = rf"(?<![0-9A-Za-z:.])(?:(?:{_GROUP}:){{7}}{_GROUP}|(?:{_GROUP}:){{1,6}}(?::{_GROUP}){{1,6}})(?![0-9A-Za-z:])"
+_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+_ABROAD = r"(?<![0-9A-Za-z+])\+[1-9][0-9]{0,3}(?:[ .\-]?\([0-9]{1,4}\))?(?:[ .\-]?[0-9]{1,4}){2,6}(?![0-9])"
+_PAIRS = r"(?<![0-9A-Za-z+.\-])0[1-9](?:[ .\-][0-9]{2}){4}(?![0-9]|[.\-][0-9])"
+ANY = "|".join((_EMAIL, _ADDRESS, _ADDRESS6, _IBAN, _DATE, _PHONE, _ABROAD, _PAIRS, _SSN, _SECRET, _CARD))
+#: Country codes of one and two digits; all others have three. Fixed values.
+_COUNTRY = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 
-KINDS = ("email", "address", "date", "phone", "ssn", "secret", "card")
+KINDS = ("email", "address", "address6", "iban", "date", "phone", "ssn", "secret", "card")
 
 
 def _digits(x: Column) -> Column:
@@ -124,7 +134,44 @@ def _card(value: Column, key: str, sign: int) -> Column:
 
 
 def _phone(value: Column, key: str, sign: int) -> Column:
-    return let(_digits(value), lambda d: _refill(value, F.concat(F.substr(d, F.lit(1), F.length(d) - 10), feistel_text(F.substr(d, F.length(d) - 9), key, "phone", (_DIGIT,), sign))))
+    """Ten national digits, or what follows the country code or the area's first two digits."""
+
+    def moved(d: Column, keep: Column, kind: str) -> Column:
+        return F.concat(F.substr(d, F.lit(1), keep), feistel_text(F.substr(d, keep + 1), key, kind, (_DIGIT,), sign))
+
+    def whole(d: Column) -> Column:
+        ten = moved(d, F.length(d) - 10, "phone")
+        abroad = moved(d, F.length(F.regexp_extract(d, _COUNTRY, 0)), "phone abroad")
+        return F.when(value.rlike(f"^(?:{_PHONE})$"), ten).when(F.startswith(value, F.lit("+")), abroad).otherwise(moved(d, F.lit(2), "phone in pairs"))
+
+    return let(_digits(value), lambda d: _refill(value, whole(d)))
+
+
+def _mod97(text: Column) -> Column:
+    """The remainder of an account number's letters and digits, read as a number (A is 10)."""
+
+    def step(a: Column, c: Column) -> Column:
+        n = F.ascii(c)
+        return F.when(n < 65, (a * 10 + n - 48) % 97).otherwise((a * 100 + n - 55) % 97)
+
+    return F.aggregate(_chars(text), F.lit(0), step)
+
+
+def _plain(value: Column) -> Column:
+    return F.replace(value, F.lit(" "), F.lit(""))
+
+
+def _iban(value: Column, key: str, sign: int) -> Column:
+    """The country stays, the account is permuted, the check digits are made anew."""
+
+    def whole(v: Column) -> Column:
+        country = F.substr(v, F.lit(1), F.lit(2))
+        check = lambda b: F.lpad((98 - _mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0")
+        return let(feistel_text(F.substr(v, F.lit(5)), key, "iban", (_UPPER, _DIGIT), sign), lambda b: F.concat(country, check(b), b))
+
+    place = lambda i: F.length(_plain(F.substr(value, F.lit(1), i + 1)))
+    grouped = lambda new: F.array_join(F.transform(_chars(value), lambda c, i: F.when(c == " ", c).otherwise(F.substr(new, place(i), F.lit(1)))), "")
+    return let(let(_plain(value), whole), grouped)
 
 
 def _ssn(value: Column, key: str, sign: int) -> Column:
@@ -147,7 +194,8 @@ def _address(value: Column, key: str, sign: int) -> Column:
 
 
 def _date_formats(value: Column) -> list[tuple[Column, str]]:
-    return [(value.rlike("^[0-9]{4}-"), "yyyy-MM-dd"), (value.rlike("^[0-9]{4}/"), "yyyy/MM/dd"), (value.rlike("^[0-9]{2}/"), "dd/MM/yyyy"), (F.lit(True), r"dd.MM.yyyy")]
+    forms = (("^[0-9]{4}-", "yyyy-MM-dd"), ("^[0-9]{4}/", "yyyy/MM/dd"), ("^[0-9]{2}/[0-9]{2}/", "dd/MM/yyyy"), ("/", "d/M/yyyy"), (r"^[0-9]{2}\.[0-9]{2}\.", "dd.MM.yyyy"))
+    return [(value.rlike(form), layout) for form, layout in forms] + [(F.lit(True), "d.M.yyyy")]
 
 
 def _date(value: Column, key: str, sign: int) -> Column:
@@ -167,7 +215,7 @@ def _date(value: Column, key: str, sign: int) -> Column:
         return out
 
     usual = let(n, lambda n: F.when((n >= 0) & (n < DAYS), let(feistel_numbers(F.floor(n / DAY_FACTORS[1]), n % DAY_FACTORS[1], DAY_FACTORS, key, "date", sign), written)))
-    month_first = value.rlike("^[0-9]{2}/") & F.try_to_timestamp(value, F.lit("dd/MM/yyyy")).isNull()
+    month_first = value.rlike("^[0-9]{1,2}/") & F.try_to_timestamp(value, F.lit("d/M/yyyy")).isNull()
     return F.when(month_first, _month_first(value, key, sign)).otherwise(usual)
 
 
@@ -181,7 +229,7 @@ def _month_first(value: Column, key: str, sign: int) -> Column:
         def day(r: Column) -> Column:
             near = (F.floor(r * MONTHS / LATE_DAYS) - 2).cast("int")
             month = let(near, lambda m: m - 1 + sum(((before(m + k) <= r).cast("int") for k in range(1, 5)), F.lit(1)))
-            return let(month, lambda m: F.date_format(F.date_add(F.add_months(first, m), (r - before(m) + 12).cast("int")), "MM/dd/yyyy"))
+            return let(month, lambda m: let(F.date_add(F.add_months(first, m), (r - before(m) + 12).cast("int")), lambda d: F.when(value.rlike("^[0-9]{2}/"), F.date_format(d, "MM/dd/yyyy")).otherwise(F.date_format(d, "M/d/yyyy"))))
 
         return let(s["l"] * LATE_FACTORS[1] + s["r"], day)
 
@@ -190,7 +238,7 @@ def _month_first(value: Column, key: str, sign: int) -> Column:
         rank = let(m, lambda m: before(m) + F.dayofmonth(d) - 13)
         return let(rank, lambda n: let(feistel_numbers(F.floor(n / LATE_FACTORS[1]), n % LATE_FACTORS[1], LATE_FACTORS, key, "late date", sign), written))
 
-    parsed = F.try_to_timestamp(value, F.lit("MM/dd/yyyy")).cast("date")
+    parsed = F.try_to_timestamp(value, F.lit("M/d/yyyy")).cast("date")
     return let(parsed, lambda d: F.when(d.isNotNull() & F.date_diff(d, first).between(0, DAYS - 1), moved(d)))
 
 
@@ -199,19 +247,24 @@ def kind_of(value: Column) -> Column:
     n = F.length(_digits(value))
     whole = lambda p: value.rlike(f"^(?:{p})$")
     card = whole(_CARD) & n.between(13, 19) & (luhn_sum(_digits(value)) % 10 == 0)
-    out = F.when(value.contains("@"), "email").when(whole(_ADDRESS), "address").when(whole(_DATE) & _date(value, "", 1).isNotNull(), "date")
-    return out.when(whole(_SSN), "ssn").when(whole(_SECRET), "secret").when(card, "card").when(whole(_PHONE), "phone")
+    plain = _plain(value)
+    iban = whole(_IBAN) & F.length(plain).between(15, 34) & (_mod97(F.concat(F.substr(plain, F.lit(5)), F.substr(plain, F.lit(1), F.lit(4)))) == 1)
+    abroad = whole(_ABROAD) & n.between(8, 15)
+    out = F.when(value.contains("@"), "email").when(whole(_ADDRESS), "address").when(whole(_ADDRESS6) & (~value.contains("::") | (F.size(F.split(value, ":+")) < 8)), "address6").when(iban, "iban").when(whole(_DATE) & _date(value, "", 1).isNotNull(), "date")
+    return out.when(whole(_SSN), "ssn").when(whole(_SECRET), "secret").when(card, "card").when(whole(_PHONE) | abroad | whole(_PAIRS), "phone")
 
 
 def pseudonym(value: Column, kind: Column, key: str, sign: int = 1) -> Column:
     """The pseudonym of a value of that kind (``sign=-1``: the value of a pseudonym); null kinds stay."""
     local = lambda: F.regexp_extract(value, "^([^@]*)(@.*)$", 1)
     out = F.when(kind == "email", F.concat(feistel_text(local(), key, "email", (_LOWER, _UPPER, _DIGIT), sign), F.regexp_extract(value, "^([^@]*)(@.*)$", 2)))
-    for name, f in (("address", _address), ("date", _date), ("phone", _phone), ("ssn", _ssn), ("card", _card)):
+    for name, f in (("address", _address), ("date", _date), ("iban", _iban), ("phone", _phone), ("ssn", _ssn), ("card", _card)):
         out = out.when(kind == name, f(value, key, sign))
-    secret = lambda *alphabets: feistel_text(value, key, "secret", alphabets, sign)
     lower, upper = ~value.rlike("[A-F]"), ~value.rlike("[a-f]")
-    return out.when((kind == "secret") & lower, secret(_HEX)).when((kind == "secret") & upper, secret(_HEX.upper())).when(kind == "secret", secret(_DIGIT, _HEX[10:], _HEX[10:].upper())).otherwise(value)
+    for name in ("secret", "address6"):
+        moved = lambda *alphabets: feistel_text(value, key, name, alphabets, sign)  # noqa: B023, E731
+        out = out.when((kind == name) & lower, moved(_HEX)).when((kind == name) & upper, moved(_HEX.upper())).when(kind == name, moved(_DIGIT, _HEX[10:], _HEX[10:].upper()))
+    return out.otherwise(value)
 
 
 def pseudonymise(df: DataFrame, key: str, text: str = "text", sign: int = 1) -> DataFrame:
