@@ -358,7 +358,7 @@ def _components(df: DataFrame, threshold: Fraction, size: int, key: str, text: s
     sets = materialize(shingle_table(df, size, key, text), "shingles")
     live = sets.where("n > 0 and doc is not null")
     # A class stands under its smallest row; classes are the nodes.
-    rep = live.groupBy("class").agg(F.min("row").alias("rep"))
+    rep = materialize(live.groupBy("class").agg(F.min("row").alias("rep")), "classes")
     member = materialize(live.select("row", "doc", "class").join(rep, "class").select("row", "doc", "rep"), "members")
 
     shared = segment_keys(live, threshold, True).groupBy("key").agg(F.min("low").alias("centre"), F.max("high").alias("last")).where("centre < last")
