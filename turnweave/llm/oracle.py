@@ -24,7 +24,8 @@ c as (select a.doc_id as a, b.doc_id as b, count(*) as k from s a join s b on a.
 l as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
 e as (select a, b from l union all select b, a from l),
 r(doc_id, node) as (select doc_id, doc_id from n union select r.doc_id, e.b from r join e on e.a = r.node)
-select n.doc_id, n.n as n_shingles, m.component_id from n join (select doc_id, min(node) as component_id from r group by 1) m using (doc_id)
+select n.doc_id, n.n as n_shingles, m.component_id, coalesce(o.n_links, 0) as n_links from n join (select doc_id, min(node) as component_id from r group by 1) m using (doc_id)
+  left join (select a as doc_id, count(*) as n_links from e group by 1) o using (doc_id)
 """
 
 OP10 = rf"""

@@ -63,11 +63,6 @@ def op7_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The components alone, the columns of the SQL twin."""
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"), count_links=False)
-
-
-def jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The join: the components and each document's exact number of links."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -159,7 +154,7 @@ def stage_byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    own = (op1_url_rules, op2_token_counts, op3_byte_bpe, op4_warc, op5_token_file, op6_quality, op7_backoff, op8_jaccard, op9_pii, op10_decontamination, url_listed_rules, quality_base, jaccard_links)
+    own = (op1_url_rules, op2_token_counts, op3_byte_bpe, op4_warc, op5_token_file, op6_quality, op7_backoff, op8_jaccard, op9_pii, op10_decontamination, url_listed_rules, quality_base)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
