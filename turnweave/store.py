@@ -6,10 +6,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: str | None = None
+#: Folders that were written inside the innermost ``scratch``.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
@@ -36,8 +41,48 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = shared_dir(spark, label)
+    if (written := _written.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a table that ``materialize`` returned; any other is left alone."""
+    if path := getattr(df, "_stored_at", None):
+        remove_dir(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete at the end, also after a failure, the tables that are materialised inside.
+
+    What is yielded marks a table as one that stays (and returns it); an enclosing ``scratch`` then answers for it.
+    Frames that still read a deleted table must not leave the block.
+    """
+    paths: list[str] = []
+    kept: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df._stored_at)
+        return df
+
+    outer = _written.get()
+    token = _written.set(paths)
+    try:
+        yield keep
+    except BaseException:
+        kept.clear()
+        raise
+    finally:
+        _written.reset(token)
+        for path in paths:
+            if path not in kept:
+                remove_dir(spark, path)
+        if outer is not None:
+            outer.extend(kept)
 
 
 def remove_dir(spark: SparkSession, uri: str) -> None:
