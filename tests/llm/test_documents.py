@@ -5,15 +5,17 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import pathlib
 import random
 import re
 
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from turnweave.llm import backoff, components, decontamination, jaccard, pii, quality
-from turnweave.llm.common import table
+from turnweave.llm.common import discard, materialize, scratch, shared_dir, table
 
 SMALL = "/root/testdata/sf0.001"
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -237,6 +239,25 @@ def test_texts_of_one_id_have_their_own_links(spark):
     assert got == {(5, 96, 1): 2, (3, 96, 1): 1, (4, 97, 2): 2, (5, 98, 1): 1, (5, 0, 0): 1, (9, 1, 0): 1, (9, 3, 1): 1, (8, 3, 1): 1}
 
 
+def folders(spark):
+    return {p.name for p in pathlib.Path(shared_dir(spark, "x").removeprefix("file://")).parent.glob("*")}
+
+
+def test_only_the_result_stays_in_the_shared_folder(spark):
+    before = folders(spark)
+    df = spark.createDataFrame(near_copies(1, 5, 4, [20, 100]), "doc_id long, text string")
+    out = jaccard.jaccard_components(df)
+    assert [f.rsplit("-", 1)[0] for f in folders(spark) - before] == ["components"] and out.count() == 20
+    discard(out)
+    assert folders(spark) == before
+    with pytest.raises(AnalysisException, match="no_such_column"):
+        jaccard.jaccard_components(df, text="no_such_column")
+    with pytest.raises(ZeroDivisionError), scratch(spark) as keep:
+        keep(materialize(df, "kept"))
+        1 / 0
+    assert folders(spark) == before
+
+
 def test_sketches_bound_the_difference():
     rng = np.random.default_rng(3)
     for _ in range(50):

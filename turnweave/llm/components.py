@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -35,6 +35,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         chained = edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("b")
         if several.union(chained).isEmpty():
             break
-        edges = materialize(_small(_large(edges)), "edges")
+        before, edges = edges, materialize(_small(_large(edges)), "edges")
+        discard(before)
     roots = edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(roots)

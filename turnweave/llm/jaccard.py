@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialize
+from .common import arrow_rows, discard, materialize, scratch
 from .components import connected_components
 from .lookup import bitmap_filter
 from .spans import mix, word_hashes
@@ -342,10 +342,10 @@ def jaccard_components(df: DataFrame, threshold: Fraction = Fraction(4, 5), size
     the similarity with the row's, equal ones included (a document with several texts counts once a text); without
     ``count_links`` it is left out. Empty and null texts have no shingles and link with nothing. Rows that share a
     key count as one document, so they share a component; a row with a null key links with nothing and has a null
-    component. Repeated rows stay.
+    component. Repeated rows stay. The rows are written; all other tables on the way to them are deleted.
     """
-    with arrow_rows(df.sparkSession, ARROW_ROWS):
-        return _components(df, threshold, size, key, text, count_links)
+    with arrow_rows(df.sparkSession, ARROW_ROWS), scratch(df.sparkSession) as keep:
+        return keep(materialize(_components(df, threshold, size, key, text, count_links), "components"))
 
 
 def _same_document(member: DataFrame) -> DataFrame:
@@ -367,6 +367,7 @@ def _components(df: DataFrame, threshold: Fraction, size: int, key: str, text: s
     held = segment_keys(live, threshold, False).join(shared, "key").where("row > centre")
     buckets = held.join(member.select("row", "rep"), "row").where("rep > centre").select("key", "rep", "centre").distinct()
     buckets = materialize(buckets, "buckets")
+    discard(shared)
 
     stars = buckets.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     x, y = _sketches(live, stars.select("a"), "a").alias("x"), _sketches(live, stars.select("b"), "b").alias("y")
