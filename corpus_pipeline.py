@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from turnweave.llm import queries
-from turnweave.llm.common import materialize, table
+from turnweave.llm.common import discard, materialize, scratch, table
 
 STAGES = [
     ("quality_rules", queries.stage_quality),
@@ -20,8 +20,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written before the next reads them."""
+    """All stages over ``documents``; each one's rows are written before the next reads them, and deleted after that."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with scratch(spark) as keep:
+        for name, stage in STAGES[:-1]:
+            with scratch(spark) as hold:
+                after = hold(materialize(stage(spark, docs, sf_dir), f"stage-{name}"))
+            discard(docs)
+            docs = after
+        return STAGES[-1][1](spark, keep(docs), sf_dir)
