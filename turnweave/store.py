@@ -12,6 +12,9 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The session's setting by which Spark deletes a query's shuffle files when the query has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _own_dir: str | None = None
 #: Folders that were written inside the innermost ``scratch``.
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
@@ -38,12 +41,20 @@ def shared_dir(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    The write's shuffle files go with it; by default they lie on disk until the driver happens to collect garbage.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, label)
     if (written := _written.get()) is not None:
         written.append(path)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
