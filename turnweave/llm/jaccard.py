@@ -400,7 +400,8 @@ def _components(df: DataFrame, threshold: Fraction, size: int, key: str, text: s
 
     weight = member.select("rep", "doc").distinct().groupBy("rep").agg(F.count("*").alias("weight")).withColumnRenamed("rep", "node")
     count = weight.join(links_between_classes(component, weight, live.withColumnRenamed("row", "id"), threshold), "node", "left")
-    count = count.select(F.col("node").alias("rep"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    # Written, so that the join of a class's rows stands alone in its stage.
+    count = materialize(count.select(F.col("node").alias("rep"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "class-links")
     # What a document's own other texts add is taken off again.
     own = member.select("doc", "rep").distinct()
     several = own.groupBy("doc").agg(F.count("*").alias("texts")).where("texts > 1").select("doc")
