@@ -10,6 +10,7 @@ import json
 import random
 import re
 import zlib
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +85,37 @@ def test_more_rules_than_a_broadcast_holds(spark):
     assert got[0] == got[1] and {r[-1] for r in got[0]} == {"allow", "block"}
 
 
+def minimal_rules(rows, min_support, min_confidence=0.8):
+    """By trying every set of up to five tokens of every row."""
+    found = {}
+    for have, _ in set(rows):
+        for size in range(1, 6):
+            for some in map(frozenset, combinations(sorted(have), size)):
+                if some not in found:
+                    both = [blocked for tokens, blocked in rows if some <= tokens]
+                    found[some] = (sum(both), sum(both) / len(both))
+    rules = {t: c for t, (n, c) in found.items() if n >= min_support * len(rows) and c >= min_confidence}
+    return {t: c for t, c in rules.items() if not any(u < t and rules[u] >= c for u in rules)}
+
+
+def test_tokens_that_always_go_together(spark):
+    rows = [(f"http://{'bad' if k % 2 else 'fine'}.site.com/{'win/prize' if k % 3 == 0 else 'news'}", k % 2 == 1 and k % 3 == 0) for k in range(60)]
+    rows += [(f"http://good.site.org/{c}/", c == "a") for c in "abc" for _ in range(4)]
+    labelled = spark.createDataFrame(rows, "url string, blocked boolean")
+    tokens = [(frozenset(r.t), r.blocked) for r in labelled.select(url_rules.tokens_of(F.col("url")).alias("t"), "blocked").collect()]
+    mined = url_rules.mine_rules(labelled, min_support=0.02)
+    assert dict(mined) == minimal_rules(tokens, 0.02) and frozenset({"host:bad", "path:prize"}) in dict(mined)
+    # A template of so many tokens has 2^40 sets of them.
+    wide = [f"{a}{b}" for a in "pqrs" for b in "abcdefghij"]
+    labelled = labelled.union(spark.createDataFrame([("http://t.u.net/" + "/".join(wide), True)] * 5, "url string, blocked boolean"))
+    mined = url_rules.mine_rules(labelled, min_support=0.02)
+    assert {frozenset({f"path:{w}"}) for w in wide} <= set(dict(mined)) and max(len(t) for t, _ in mined) <= 5
+    many = url_rules.mine_rules(labelled, min_support=0.02, max_rules=3)
+    assert sorted((sorted(t), c) for t, c in mined) == sorted((r.tokens, r.confidence) for r in many.collect())
+    pages = spark.createDataFrame([(1, "http://bad.new.de/prize"), (2, "http://fine.new.de/prize"), (3, "http://x.y/sj"), (4, "http://x.y/zz")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in url_rules.judge_urls(pages, {}, mined).collect()} == {1: "block", 2: "allow", 3: "block", 4: "allow"}
+
+
 def test_urls_of_an_empty_table(spark):
     assert url_rules.judge_urls(spark.createDataFrame([], "page_id long, url string"), queries.URL_RULES, []).count() == 0
 

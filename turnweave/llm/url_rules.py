@@ -6,6 +6,9 @@ minimum support and confidence. Rules that say no more than a shorter one are pr
 through an inverted index: a rule stands under its rarest token, and a URL only tries the rules under tokens
 it has.
 
+Tokens that always go together, as those of a URL template do, are mined as one, since a minimal rule never has two
+of them; each rule then stands for every choice among them. Their itemsets would double with each token.
+
 Pruning is a join over the tasks, with support and confidence as given. Up to ``MAX_RULES`` minimal rules are
 broadcast as an index; if there are more, they stay a table and are matched by a join on the indexed token.
 """
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import batched, product
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 MIN_SUPPORT, MIN_CONFIDENCE, MAX_ITEMS, MAX_RULES = 0.002, 0.8, 5, 100_000
+#: Rules of an Arrow batch.
+EXPAND_ROWS = 10_000
 BLOCK, ALLOW = "block", "allow"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -68,18 +74,62 @@ def mine_rules(labelled: DataFrame, url: str = "url", blocked: str = "blocked",
 
     items = labelled.where(F.col(blocked).isNotNull()).select(F.concat(tokens_of(F.col(url)), F.array(F.when(F.col(blocked), BLOCK).otherwise(ALLOW))).alias("items")).persist()
     try:
-        if items.isEmpty():
+        n = items.count()
+        if not n:
             return []
-        model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+        classes = always_together(items, min_support * n)
+        model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(one_of_each(items, classes))
         rules = model.associationRules.where((F.element_at("consequent", 1) == BLOCK) & (F.size("antecedent") <= max_items))
         rules = rules.where(~F.array_contains("antecedent", ALLOW)).select(F.array_sort("antecedent").alias("tokens"), "confidence")
         rules = materialize(minimal(materialize(rules, "rules")), "minimal-rules")
+        if classes:
+            rules = materialize(with_each(rules, classes), "expanded-rules")
         rows = rules.limit(max_rules + 1).collect()
         return rules if len(rows) > max_rules else pruned([(frozenset(r["tokens"]), r["confidence"]) for r in rows])
     finally:
         items.unpersist()
 
 
+def always_together(items: DataFrame, least: float) -> dict[str, list[str]]:
+    """Tokens of at least ``least`` rows that stand in exactly the same rows: the first of them to all of them.
+
+    Rows are told apart by two 64-bit hashes, of which a token has the sums. What is collected is bounded by the mean
+    number of tokens over the support.
+    """
+    hashes = (F.xxhash64(F.lit(seed), "items").cast("decimal(20,0)").alias(f"h{seed}") for seed in (0, 1))
+    rows = items.select(F.explode("items").alias("token"), *hashes).where(~F.col("token").isin(BLOCK, ALLOW))
+    frequent = rows.groupBy("token").agg(F.count("*").alias("n"), F.sum("h0").alias("h0"), F.sum("h1").alias("h1")).where(F.col("n") >= least)
+    classes = frequent.groupBy("n", "h0", "h1").agg(F.sort_array(F.collect_list("token")).alias("tokens")).where(F.size("tokens") > 1)
+    return {r["tokens"][0]: r["tokens"] for r in classes.select("tokens").collect()}
+
+
+def one_of_each(items: DataFrame, classes: dict[str, list[str]]) -> DataFrame:
+    """``items`` with the first token of each class only; no minimal rule needs two of a class."""
+    if not classes:
+        return items
+    others = items.sparkSession.sparkContext.broadcast(frozenset(t for c in classes.values() for t in c[1:]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [[t for t in row if t not in others.value] for row in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.list_(pa.string()))], ["items"])
+
+    return items.mapInArrow(run, "items array<string>")
+
+
+def with_each(rules: DataFrame, classes: dict[str, list[str]]) -> DataFrame:
+    """Each rule over first tokens once for every choice of a token of their classes."""
+    members = rules.sparkSession.sparkContext.broadcast(classes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for tokens, confidence in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for part in batched(product(*(members.value.get(t, (t,)) for t in tokens)), EXPAND_ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(map(sorted, part), pa.list_(pa.string())), pa.array([confidence] * len(part), pa.float64())], ["tokens", "confidence"])
+
+    return rules.select("tokens", "confidence").mapInArrow(run, "tokens array<string>, confidence double")
+
+
 def minimal(rules: DataFrame) -> DataFrame:
     """``tokens`` (sorted), ``confidence`` without the rules that have all tokens of a shorter one and no more confidence."""
     parts = F.expr("transform(sequence(1L, shiftleft(1L, size(tokens)) - 2), m -> filter(tokens, (x, i) -> getbit(m, i) = 1))")
