@@ -41,6 +41,21 @@ def test_twin(spark, duck, name):
     assert canonical(df.select(*columns).collect()) == canonical([tuple(r[i] for i in at) for r in want.fetchall()])
 
 
+@pytest.mark.parametrize("name", ["edge_midpoint"])
+def test_twin_where_the_half_falls_on_a_point(spark, tmp_path, name):
+    """The middle one of three points halves its way, but the two steps differ in the last bits."""
+    lines = [(o, n, (node - 1) // 16, (node - 1) % 16) for o, nodes in {0: (441151, 509579, 578007), 1: (578007, 421352)}.items() for n, node in enumerate(nodes)]
+    con = duckdb.connect()
+    con.execute("create table orders as select * from (values (0::bigint, '1-URGENT', 'O'), (1::bigint, '2-HIGH', 'O')) t(o_orderkey, o_orderpriority, o_orderstatus)")
+    con.execute("create table lineitem (l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_shipdate timestamp default '2000-01-01', l_extendedprice double default 1)")
+    con.executemany("insert into lineitem (l_orderkey, l_linenumber, l_partkey, l_suppkey) values (?, ?, ?, ?)", lines)
+    for t in ("orders", "lineitem"):
+        con.execute(f"copy {t} to '{tmp_path}/{t}.parquet'")
+    df = catalog.queries()[name](spark, str(tmp_path))
+    want = con.sql(f"select {', '.join(df.columns)} from ({oracle.sql()[name]})").fetchall()
+    assert want and canonical(df.collect()) == canonical(want)
+
+
 def test_known_number_of_turns(spark):
     import __spark_entry__
 

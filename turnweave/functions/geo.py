@@ -16,6 +16,8 @@ from pyspark.sql.types import StringType
 #: Radius of the sphere in km, HEALPix resolution.
 EARTH_RADIUS_KM = 6370.986884258304
 N_SIDE = 50
+#: Fixed value, as in the SQL twins: a running planar length (degrees) has reached the half if it lacks no more than this.
+HALF_TOLERANCE = 1e-13
 
 
 def let(value: Column, body) -> Column:
@@ -102,8 +104,9 @@ def _running(values: Column) -> Column:
 def midpoint(line: Column) -> Column:
     """Struct ``idx, lat, lon``: the point at half the planar length and the index of the segment it lies on.
 
-    That is the first segment at whose end the running length reaches the half. A line without length has its first
-    point, with index 0.
+    That is the first segment at whose end the running length reaches the half. Where the half falls on a point of the
+    line, the last bits of the sums don't decide: the segment that ends there is taken. A line without length has its
+    first point, with index 0.
     """
     spot = lambda i, p: F.struct(i.cast("int").alias("idx"), p["lat"].alias("lat"), p["lon"].alias("lon"))
     first = F.get(line, F.lit(0))
@@ -116,8 +119,8 @@ def midpoint(line: Column) -> Column:
             share = (half - before) / F.get(s["steps"], k)
             return let(point_between(F.get(line, k), F.get(line, k + 1), share), lambda p: spot(k, p))
 
-        number = F.array_position(F.transform(reached, lambda x: x >= half), True).cast("int") - 1
-        return F.when(F.coalesce(half, F.lit(0.0)) > 0, let(number, at)).otherwise(spot(F.lit(0), first))
+        number = F.array_position(F.transform(reached, lambda x: x + HALF_TOLERANCE >= half), True).cast("int") - 1
+        return F.when(F.coalesce(half, F.lit(0.0)) > HALF_TOLERANCE, let(number, at)).otherwise(spot(F.lit(0), first))
 
     return let(_steps(line, planar_distance), lambda d: let(F.struct(d.alias("steps"), _running(d).alias("reached")), halved))
 
