@@ -41,7 +41,7 @@ def test_twin(spark, duck, name):
     assert canonical(df.select(*columns).collect()) == canonical([tuple(r[i] for i in at) for r in want.fetchall()])
 
 
-@pytest.mark.parametrize("name", ["edge_midpoint", "turn_csv"])
+@pytest.mark.parametrize("name", ["edge_midpoint", "turn_csv", "turn_geometry"])
 def test_twin_where_the_half_falls_on_a_point(spark, tmp_path, name):
     """The middle one of three points halves its way, but the two steps differ in the last bits."""
     lines = [(o, n, (node - 1) // 16, (node - 1) % 16) for o, nodes in {0: (441151, 509579, 578007), 1: (578007, 421352)}.items() for n, node in enumerate(nodes)]
