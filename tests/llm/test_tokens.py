@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -58,6 +59,18 @@ def test_counts_of_an_empty_table(spark, docs):
     assert token_counts.count_tokens(docs.limit(0), P.path("piece_bpe_32k.model")).count() == 0
 
 
+def test_frequent_pretokens_are_those_of_all_rows(spark):
+    docs = spark.range(12_000).selectExpr("concat('all w', id, if(id % 2 = 0, ' twice', '')) as text")
+    entries = lambda size: set(token_counts.frequent_table(docs, "text", P.path("piece_bpe_32k.model"), size)[0].decode().split("\x00"))
+    assert entries(12_002) == {"all", "twice", *(f"w{i}" for i in range(12_000))}
+    assert entries(12_001) == {"all", "twice"}
+
+
+def test_pretoken_numbers_with_a_tiny_tally(docs):
+    want = Counter(s for r in docs.collect() if r.text is not None for s in token_counts.segments(r.text) if 0 < len(s) <= 64 and "\x00" not in s)
+    assert {r.segment: r.n for r in token_counts.pretoken_numbers(docs, "text", 3).collect()} == want
+
+
 @pytest.fixture(scope="module")
 def tiktoken_encoding():
     import tiktoken

@@ -1,11 +1,12 @@
 """Token counts: a map-side two-tier lookup.
 
-Tier one is a compact table of frequent pre-tokens and their token counts, built once from a bounded sample
-and broadcast (at most ``TABLE_SIZE`` entries, so its size has a fixed bound). Tier two is a cache in each
-Python worker: a pre-token that the table lacks is encoded once by the library and then remembered. No
-pre-token is ever shuffled; the only thing that leaves a task is one row per document.
+Tier one is a compact table of the corpus's most frequent pre-tokens and their token counts, built once from all
+documents and broadcast (at most ``TABLE_SIZE`` entries, so its size has a fixed bound). Tier two is a cache in each
+Python worker: a pre-token that the table lacks is encoded once by the library and then remembered. No occurrence
+of a pre-token is ever shuffled: for the table a task sends each distinct one with its number (once more each time
+it has met ``TALLY_SIZE`` of them), and then one row per document.
 
-The sample decides only which counts are known beforehand, never a result.
+The table decides only which counts are known beforehand, never a result.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of the broadcast table; entries of a worker's cache before it starts anew; documents sampled.
+from .common import materialize, scratch
+
+#: Entries of the broadcast table; of a worker's cache before it starts anew; of a task's tally before it is sent.
 TABLE_SIZE = 65_536
 CACHE_SIZE = 1_500_000
-SAMPLE_DOCUMENTS = 5_000
+TALLY_SIZE = 250_000
 #: Longer pre-tokens are encoded each time and never kept.
 CACHED_CHARS = 64
 
@@ -79,28 +82,48 @@ def _counter(model_path: str, packed: tuple[bytes, bytes], limit: int) -> PieceC
     return _workers[key]
 
 
-def frequent_table(df: DataFrame, text: str, model_path: str, size: int = TABLE_SIZE, sample: int = SAMPLE_DOCUMENTS) -> tuple[bytes, bytes]:
-    """The packed first tier: frequent pre-tokens of at most about ``sample`` documents and their counts."""
-    n = df.count()
-    if not n:
-        return b"", b""
-    keep = size // 16
+def pretoken_numbers(df: DataFrame, text: str, tally_size: int = TALLY_SIZE) -> DataFrame:
+    """``segment, n``: how often each pre-token of at most ``CACHED_CHARS`` characters occurs in all rows."""
+
+    def rows(seen: Counter) -> pa.RecordBatch:
+        kept = [s for s in seen if s and "\x00" not in s]
+        return pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array([seen[s] for s in kept], pa.int64())], ["segment", "n"])
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for value in batch.column(0).to_pylist():
-                seen.update(s for s in segments(value) if 0 < len(s) <= CACHED_CHARS and "\x00" not in s)
-            if len(seen) > 16 * keep:
-                seen = Counter(dict(seen.most_common(4 * keep)))
-        top = seen.most_common(keep)
-        yield pa.RecordBatch.from_pydict({"segment": [s for s, _ in top], "n": [c for _, c in top]}, pa.schema([("segment", pa.string()), ("n", pa.int64())]))
-
-    some = df.where(F.col(text).isNotNull()).select(text).sample(min(1.0, sample / n), 7)
-    rows = some.mapInArrow(tally, "segment string, n long").groupBy("segment").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "segment").limit(size).collect()
+                found = segments(value)
+                if max(map(len, found)) > CACHED_CHARS:
+                    found = [s for s in found if len(s) <= CACHED_CHARS]
+                seen.update(found)
+                if len(seen) >= tally_size:
+                    yield rows(seen)
+                    seen.clear()
+        yield rows(seen)
+
+    return df.where(F.col(text).isNotNull()).select(text).mapInArrow(tally, "segment string, n long").groupBy("segment").agg(F.sum("n").alias("n"))
+
+
+def frequent_table(df: DataFrame, text: str, model_path: str, size: int = TABLE_SIZE) -> tuple[bytes, bytes]:
+    """The packed first tier: the most frequent pre-tokens of all rows and their token counts.
+
+    Those that occur equally often are taken together, so the table may have fewer than ``size`` entries; the driver
+    gets these alone, and how many pre-tokens there are of each frequency.
+    """
+    with scratch(df.sparkSession):
+        numbers = materialize(pretoken_numbers(df, text), "pretokens")
+        least, total = None, 0
+        for n, many in numbers.groupBy("n").count().orderBy(F.desc("n")).collect():
+            total += many
+            if total > size:
+                break
+            least = n
+        words = [r["segment"] for r in numbers.where(F.col("n") >= least).orderBy(F.desc("n"), "segment").collect()] if least else []
+    if not words:
+        return b"", b""
     counter = PieceCounter(model_path, {})
-    words = [r["segment"] for r in rows]
-    return "\x00".join(words).encode(), pa.array([counter[w] for w in words], pa.uint16()).buffers()[1].to_pybytes()[: 2 * len(words)] if words else b""
+    return "\x00".join(words).encode(), pa.array([counter[w] for w in words], pa.uint16()).buffers()[1].to_pybytes()[: 2 * len(words)]
 
 
 def count_tokens(df: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", limit: int = 4096, cache_size: int = CACHE_SIZE) -> DataFrame:
