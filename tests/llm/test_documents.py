@@ -8,12 +8,14 @@ import math
 import pathlib
 import random
 import re
+import uuid
 
 import numpy as np
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from turnweave import store
 from turnweave.llm import backoff, components, decontamination, jaccard, pii, quality
 from turnweave.llm.common import discard, materialize, scratch, shared_dir, table
 
@@ -332,6 +334,32 @@ def test_backoff_of_equal_blocks(spark):
         assert len({(r.doc_id, r.log10_score) for r in got}) == 2
 
 
+def test_backoff_of_many_small_parts(spark, docs, tmp_path, monkeypatch):
+    """No file of Spark's writers on the way, and no group for each part; the scores don't depend on the parts."""
+    want = collections.Counter((r.doc_id, r.n_words, round(r.log10_score, 6)) for r in backoff.stupid_backoff(docs.coalesce(1)).collect())
+    folder = lambda spark, label: f"file://{tmp_path}/{label}-{uuid.uuid4().hex}"
+    monkeypatch.setattr(backoff, "shared_dir", folder)
+    monkeypatch.setattr(store, "shared_dir", folder)
+    out = backoff.stupid_backoff(docs.repartition(40))
+    assert not list(tmp_path.rglob("part-*"))
+    rows = out.withColumn("part", F.spark_partition_id()).collect()
+    assert collections.Counter((r.doc_id, r.n_words, round(r.log10_score, 6)) for r in rows) == want
+    assert len({r.part for r in rows}) == 1
+
+
+def test_gathered_rows_leave_no_shuffle_files(spark):
+    files = lambda: spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = files()
+    assert sorted(r.k for r in store.gather(df)) == list(range(7))
+    assert files() <= before
+
+
+def test_blocks_are_put_together_up_to_a_bound():
+    assert backoff.together([("a", 3), ("b", 2), ("c", 1), ("d", 9), ("e", 0), ("f", 5)], 5) == [["a", "b"], ["c"], ["d"], ["e", "f"]]
+    assert backoff.together([], 5) == []
+
+
 # Decontamination
 
 

@@ -11,6 +11,10 @@ every n-gram of a block its count in the corpus, and the blocks' words, joined w
 document. An n-gram passes the shuffle once a block, not once an occurrence, so a frequent one is no hot key. The
 number of buckets follows from the number of words, so that a bucket holds about ``BUCKET_WORDS`` whatever the
 input. The orders go one after another, so only one order's n-grams are on disk at a time.
+
+Blocks and count tables are files that the Python workers write; Spark's writers, whose JVM starts a process for each
+file on a local file system, have no part in it. Small blocks, as many small input files give them, are exploded and
+scored together. The driver holds a row for each block.
 """
 
 from __future__ import annotations
@@ -18,23 +22,26 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_dir, tasks
+from .common import gather, shared_dir, tasks
 from .spans import mix, word_hashes
 from .store import read_file, write_file
 
-#: Words after which a block is closed; words of the corpus for each bucket; characters that are hashed together.
+#: Words after which a block is closed; words and documents up to which small blocks are put together; words of the
+#: corpus for each bucket; characters that are hashed together.
 BLOCK_WORDS = 2_500_000
+GROUP_SIZE = 1_000_000
 BUCKET_WORDS = 2_000_000
 HASH_CHARS = 1 << 21
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
+#: The rows of a count table.
+COUNTS = "block long, n int, bucket long, totals binary"
 
 
 def ngram_hashes(stream: np.ndarray, lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,6 +73,12 @@ def load_block(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return pa.array(docs, mask=nulls.astype(bool)), lengths, vocabulary[local] if len(local) else np.empty(0, np.uint64)
 
 
+def load_blocks(folder: str, names: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """These blocks end to end."""
+    docs, lengths, streams = zip(*(load_block(read_file(f"{folder}/{name}")) for name in names), strict=True)
+    return pa.concat_arrays(docs), np.concatenate(lengths), np.concatenate(streams)
+
+
 def pack_sorted(x: np.ndarray) -> bytes:
     """Ascending 64-bit numbers by their differences, six bytes each where that is enough."""
     step = np.diff(x, prepend=x[:1])
@@ -114,8 +127,8 @@ def _cuts(grams: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
     return zip(bucket[at].tolist(), map(slice, at.tolist(), ends.tolist()), strict=True)
 
 
-def write_blocks(df: DataFrame, folder: str, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``block, words``: a row for each block of documents (columns doc, text) that lies in the folder."""
+def write_blocks(df: DataFrame, folder: str, block_words: int = BLOCK_WORDS) -> list[tuple[str, int, int]]:
+    """(name, words, words and documents) of each block of documents (columns doc, text) that lies in the folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs: list = []
@@ -130,7 +143,7 @@ def write_blocks(df: DataFrame, folder: str, block_words: int = BLOCK_WORDS) ->
             # blocks stay apart.
             name = f"{hashlib.blake2b(data, digest_size=16).hexdigest()}-{TaskContext.get().partitionId()}-{closed}"
             write_file(folder, name, data, exact=True)
-            row = pa.RecordBatch.from_pydict({"block": [name], "words": [held]}, pa.schema([("block", pa.string()), ("words", pa.int64())]))
+            row = pa.RecordBatch.from_pydict({"block": [name], "words": [held], "size": [held + len(docs)]}, pa.schema([("block", pa.string()), ("words", pa.int64()), ("size", pa.int64())]))
             docs, hashes, lengths, held, closed = [], [], [], 0, closed + 1
             return row
 
@@ -152,20 +165,37 @@ def write_blocks(df: DataFrame, folder: str, block_words: int = BLOCK_WORDS) ->
         if docs:
             yield close()
 
-    return materialize(df.mapInArrow(run, "block string, words long"), "lm-blocks")
+    return [tuple(r) for r in gather(df.mapInArrow(run, "block string, words long, size long"))]
 
 
-def corpus_counts(blocks: DataFrame, folder: str, n: int, buckets: int) -> DataFrame:
-    """``block, n, bucket, totals``: the corpus counts of each block's distinct n-grams, in ascending order of hash."""
+def together(blocks: list[tuple[str, int]], most: int) -> list[list[str]]:
+    """The names of the blocks (name, size), neighbours put together while they have at most that size."""
+    groups: list[list[str]] = []
+    held = 0
+    for name, size in blocks:
+        if not groups or held + size > most:
+            groups.append([])
+            held = 0
+        groups[-1].append(name)
+        held += size
+    return groups
+
+
+def corpus_counts(groups: DataFrame, folder: str, n: int, buckets: int) -> None:
+    """Writes ``block, n, bucket, totals`` as a file for each bucket: the corpus counts of the distinct n-grams of each
+    group of blocks (columns block, files), in ascending order of hash. Block 0 has a row in every bucket."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in batch.column(0).to_pylist():
-                _, lengths, stream = load_block(read_file(f"{folder}/{block}"))
+            for block, names in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                _, lengths, stream = load_blocks(folder, names)
                 grams, counts = np.unique(ngram_hashes(stream, lengths, n)[0], return_counts=True)
-                rows = [(block, k, pack_sorted(grams[part]), pack_counts(counts[part])) for k, part in _cuts(grams, buckets)]
+                parts = dict(_cuts(grams, buckets))
+                if block == 0:
+                    parts = dict.fromkeys(range(buckets), slice(0, 0)) | parts
+                rows = [(block, k, pack_sorted(grams[part]), pack_counts(counts[part])) for k, part in parts.items()]
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["block", "bucket", "grams", "counts"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["block", "bucket", "grams", "counts"])
 
     def total(table: pa.Table) -> pa.Table:
         parts = list(map(unpack_sorted, table.column("grams").to_pylist()))
@@ -173,10 +203,33 @@ def corpus_counts(blocks: DataFrame, folder: str, n: int, buckets: int) -> DataF
         counts = np.concatenate(list(map(unpack_counts, table.column("counts").to_pylist())))
         answer = np.bincount(number, weights=counts)[number].astype(np.uint64)
         packed = [pack_counts(x) for x in np.split(answer, np.cumsum([len(p) for p in parts])[:-1])]
-        return pa.table({"block": table.column("block"), "n": pa.array([n] * len(parts), pa.int32()), "bucket": table.column("bucket"), "totals": pa.array(packed, pa.binary())})
+        rows = pa.table({"block": table.column("block"), "n": pa.array([n] * len(parts), pa.int32()), "bucket": table.column("bucket"), "totals": pa.array(packed, pa.binary())})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema) as out:
+            out.write_table(rows)
+        bucket = table.column("bucket")[0].as_py()
+        # Named by order and bucket: a task that runs again writes the same rows.
+        write_file(folder, counts_file(n, bucket), memoryview(sink.getvalue()), exact=True)
+        return pa.table({"bucket": pa.array([bucket], pa.int64())})
+
+    exploded = groups.repartition(tasks(groups.sparkSession)).mapInArrow(explode, "block long, bucket long, grams binary, counts binary")
+    gather(exploded.groupBy("bucket").applyInArrow(total, "bucket long").groupBy().count())
+
+
+def counts_file(n: int, bucket: int) -> str:
+    return f"counts-{n}-{bucket}"
+
+
+def read_counts(spark: SparkSession, folder: str, order: int, buckets: int) -> DataFrame:
+    """``block, n, bucket, totals`` of all orders' files."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                with pa.ipc.open_stream(read_file(f"{folder}/{counts_file(k // buckets + 1, k % buckets)}")) as rows:
+                    yield from rows
 
-    exploded = blocks.select("block").repartition(tasks(blocks.sparkSession)).mapInArrow(explode, "block string, bucket long, grams binary, counts binary")
-    return materialize(exploded.groupBy("bucket").applyInArrow(total, "block string, n int, bucket long, totals binary"), f"lm-counts-{n}")
+    return spark.range(0, order * buckets, 1, tasks(spark)).mapInArrow(read, COUNTS)
 
 
 def stupid_backoff(df: DataFrame, order: int = 3, alpha: float = 0.4, min_count: int = 2, key: str = "doc_id", text: str = "text", buckets: int | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -189,18 +242,21 @@ def stupid_backoff(df: DataFrame, order: int = 3, alpha: float = 0.4, min_count:
     spark = df.sparkSession
     folder = shared_dir(spark, "lm-blocks")
     blocks = write_blocks(df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")), folder, block_words)
-    n_all = blocks.agg(F.sum("words")).first()[0] or 0
+    n_all = sum(words for _, words, _ in blocks)
     buckets = buckets or max(tasks(spark), -(-n_all // BUCKET_WORDS))
-    counts = [corpus_counts(blocks, folder, n, buckets) for n in range(1, order + 1)]
-    # A row of order 0 for each block, so that a block without n-grams is scored too.
-    every = reduce(DataFrame.unionByName, counts, blocks.select("block", F.lit(0).alias("n"), F.lit(0).cast("long").alias("bucket"), F.lit(b"").alias("totals")))
+    groups = list(enumerate(together([(name, size) for name, _, size in blocks], min(GROUP_SIZE, block_words))))
+    for n in range(1, order + 1) if groups else ():
+        corpus_counts(spark.createDataFrame(groups, "block long, files array<string>"), folder, n, buckets)
+    # A row of order 0 for each group of blocks, with their names; one without n-grams is scored too.
+    every = spark.createDataFrame([(k, 0, 0, "\n".join(names).encode()) for k, names in groups], COUNTS)
+    if groups:
+        every = every.unionByName(read_counts(spark, folder, order, buckets))
 
     def score(table: pa.Table) -> pa.Table:
-        block = table.column("block")[0].as_py()
-        docs, lengths, stream = load_block(read_file(f"{folder}/{block}"))
         answers: dict[int, list[tuple[int, bytes]]] = {n: [] for n in range(order + 1)}
         for n, k, totals in zip(*(table.column(c).to_pylist() for c in ("n", "bucket", "totals")), strict=True):
             answers[n].append((k, totals))
+        docs, lengths, stream = load_blocks(folder, answers[0][0][1].decode().split("\n"))
         best = np.zeros(len(stream))  # S of each word so far, from the shortest context up
         shorter = np.zeros(len(stream))  # counts of the n-grams one word shorter, by last word
         for n in range(1, order + 1):

@@ -9,9 +9,9 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..store import discard, materialize, scratch, shared_dir
+from ..store import discard, gather, materialize, scratch, shared_dir
 
-__all__ = ["arrow_rows", "discard", "let", "materialize", "original", "own_columns", "scratch", "shared_dir", "space_chunks", "table", "tasks"]
+__all__ = ["arrow_rows", "discard", "gather", "let", "materialize", "original", "own_columns", "scratch", "shared_dir", "space_chunks", "table", "tasks"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

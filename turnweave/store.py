@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 #: The session's setting by which Spark deletes a query's shuffle files when the query has ended.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -49,15 +49,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = shared_dir(spark, label)
     if (written := _written.get()) is not None:
         written.append(path)
+    with _shuffle_cleanup(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def gather(df: DataFrame) -> list[Row]:
+    """The rows of ``df`` on the driver; the query's shuffle files go with it, as those of a write do."""
+    with _shuffle_cleanup(df.sparkSession):
+        return df.select("*").collect()  # a frame has the setting of the moment when it was made
+
+
+@contextmanager
+def _shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stored_at = path
-    return out
 
 
 def discard(df: DataFrame) -> None:
